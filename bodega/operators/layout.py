@@ -1,0 +1,120 @@
+"""File layout of stored tables: fewer files, and rows clustered on several columns at once."""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+TARGET_FILE_BYTES = 256 << 20
+_MORTON, _SALT = "__morton", "__salt"
+_PREFIX_BYTES = 7
+
+
+def balanced(df: DataFrame, partition: Sequence[str] = ()) -> DataFrame:
+    """``df`` arranged for writing: rows of one table partition together, in pieces of even size.
+
+    The rebalance lets AQE merge small pieces and cut a partition that holds much of the table.
+    """
+    return df.hint("rebalance", *partition) if partition else df
+
+
+def packed(spark: SparkSession, table: str, partition: Sequence[str], file_bytes: int) -> DataFrame:
+    """A stored table arranged into files of about ``file_bytes``.
+
+    Without partition columns the scan itself packs small files together, one task per output file, so no
+    shuffle is needed. With them, rows of one partition have to meet: a rebalance of the same size.
+    The settings live in a session of their own and leave the caller's alone.
+    """
+    packing = spark.newSession()
+    packing.conf.set("spark.sql.files.maxPartitionBytes", str(file_bytes))
+    packing.conf.set("spark.sql.files.openCostInBytes", "0")
+    packing.conf.set("spark.sql.files.minPartitionNum", "1")
+    packing.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(file_bytes))
+    return balanced(packing.table(table), partition)
+
+
+def _as_number(name: str, kind: str, shared_prefix: int) -> Column:
+    """A number that sorts like the column. Strings count from the first character in which values differ."""
+    column = F.col(name)
+    if kind == "string":
+        digits = _PREFIX_BYTES * 2
+        tail = F.hex(F.substring(column, shared_prefix + 1, _PREFIX_BYTES))
+        return F.conv(F.rpad(tail, digits, "0"), 16, 10).cast("double")
+    if kind == "date":
+        return F.unix_date(column).cast("double")
+    if kind == "timestamp":
+        return F.unix_micros(column).cast("double")
+    if kind == "boolean":
+        return column.cast("int").cast("double")
+    return column.cast("double")
+
+
+def _shared_prefixes(df: DataFrame, names: Sequence[str]) -> dict[str, int]:
+    """How many leading characters all values of a string column share: those its extremes share."""
+    if not names:
+        return {}
+    extremes = df.agg(*[f(n).alias(f"{f.__name__}_{n}") for n in names for f in (F.min, F.max)]).first()
+
+    def shared(low: str | None, high: str | None) -> int:
+        pairs = zip(low or "", high or "")
+        return next((at for at, (a, b) in enumerate(pairs) if a != b), min(len(low or ""), len(high or "")))
+
+    return {n: shared(extremes[f"min_{n}"], extremes[f"max_{n}"]) for n in names}
+
+
+def _bucket(value: Column, cuts: Sequence[float], first: int = 0) -> Column:
+    """How many cuts lie at or below ``value``, as a balanced tree of comparisons."""
+    if not cuts:
+        return F.lit(first)
+    middle = len(cuts) // 2
+    left = _bucket(value, cuts[:middle], first)
+    right = _bucket(value, cuts[middle + 1 :], first + middle + 1)
+    return F.when(value < F.lit(cuts[middle]), left).otherwise(right)
+
+
+def _interleaved(buckets: Sequence[Column], bits: int) -> Column:
+    """Bits of all buckets taken in turn, most significant first: near in the key is near in every column."""
+    key = F.lit(0).cast("bigint")
+    for bit in reversed(range(bits)):
+        for bucket in buckets:
+            key = F.shiftleft(key, 1).bitwiseOR(F.shiftright(bucket, bit).bitwiseAND(F.lit(1)).cast("bigint"))
+    return key
+
+
+def morton_key(df: DataFrame, columns: Sequence[str], bits: int) -> Column:
+    """The interleaved key of ``columns``, each cut into ``2**bits`` ranges of about equal row count.
+
+    The cuts come from one mergeable percentile sketch per column: a fixed number of values per column
+    reaches the driver, whatever the size of the table. NULL falls into the last range.
+    """
+    kinds = dict(df.dtypes)
+    prefixes = _shared_prefixes(df, [name for name in columns if kinds[name] == "string"])
+    numbers = [_as_number(name, kinds[name], prefixes.get(name, 0)) for name in columns]
+    shares = [step / 2**bits for step in range(1, 2**bits)]
+    sketch = df.agg(*[F.percentile_approx(n, shares).alias(str(i)) for i, n in enumerate(numbers)]).first()
+    cuts = [sorted(set(found or ())) for found in sketch]
+    return _interleaved([_bucket(number, c) for number, c in zip(numbers, cuts)], bits)
+
+
+def clustered(
+    spark: SparkSession, table: str, columns: Sequence[str], partition: Sequence[str], file_count: int
+) -> DataFrame:
+    """A stored table in the order of its Morton key, cut into ``file_count`` even ranges.
+
+    Ranges are cut by the key, then the columns, then the position of the row in its file. The position
+    splits a combination of values that fills many files, and is the same when a lost task runs again.
+    """
+    bits = min(7, max(2, math.ceil(math.log2(max(file_count, 2)) / len(columns)) + 1))
+    stored = spark.table(table)
+    names = stored.columns
+    keyed = stored.select(
+        *names,
+        morton_key(stored, columns, bits).alias(_MORTON),
+        F.xxhash64("_metadata.file_path", "_metadata.row_index").alias(_SALT),
+    )
+    ranges = [*partition, _MORTON, *columns, _SALT]
+    ordered = keyed.repartitionByRange(file_count, *ranges).sortWithinPartitions(*partition, _MORTON, *columns)
+    return ordered.select(*names)

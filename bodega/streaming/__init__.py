@@ -1,0 +1 @@
+"""Empty on purpose: every dataset here is a full-refresh batch; there is no stream to process."""

@@ -69,10 +69,12 @@ def _stored(df: DataFrame, table: str) -> DataFrame:
 
 
 def _scratch_warehouse(tables: TpchTables, label: str) -> Warehouse:
-    """A warehouse of its own in the shared folder, with database names no other run uses."""
+    """A warehouse of its own in the shared folder, with database names no other run uses.
+
+    The daily KPIs have one row per day and branch, too few for a folder per day.
+    """
     root = scratch_path(tables.spark, label)
-    warehouse = Warehouse(tables.spark, root, prefix=f"run_{root[-32:]}_")
-    return warehouse
+    return Warehouse(tables.spark, root, f"run_{root[-32:]}_", partitions={"gold.fact_kpis_diarios": ()})
 
 
 # --- reports straight over the tables ---
@@ -355,8 +357,8 @@ def upsert_kpis_diarios(t: TpchTables) -> DataFrame:
 @registered
 def layout_compact(t: TpchTables) -> DataFrame:
     warehouse = _scratch_warehouse(t, "layout")
-    table = "silver.ventas_clean"
-    warehouse.overwrite(table, silver_ventas(t), RUN_TS)
+    table = "silver.inventario_clean"
+    warehouse.overwrite(table, silver_inventario(t), RUN_TS)
     warehouse.compact(table)
     return warehouse.read(table).drop("_transform_timestamp")
 

@@ -9,7 +9,8 @@ from __future__ import annotations
 import datetime as dt
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -32,12 +33,27 @@ def stamped(df: DataFrame, layer: str, run_ts: dt.datetime | None) -> DataFrame:
 
 
 class Warehouse:
-    """Tables below ``root``; ``prefix`` keeps several warehouses apart in one catalog."""
-
-    def __init__(self, spark: SparkSession, root: str, prefix: str = ""):
+    """Tables below ``root``; ``prefix`` keeps several warehouses apart in one catalog.
+
+    ``partitions`` overrides the declared partition columns of single tables, for instance to store a mart
+    with a few rows per day in plain files instead of a folder per day.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        prefix: str = "",
+        partitions: Mapping[str, Sequence[str]] | None = None,
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.prefix = prefix
+        self.partitions = {table: tuple(columns) for table, columns in (partitions or {}).items()}
+
+    def spec(self, table: str) -> TableSpec:
+        declared = spec_of(table)
+        return replace(declared, partition=self.partitions.get(table, declared.partition))
 
     def name(self, table: str) -> str:
         spec = spec_of(table)
@@ -46,7 +62,7 @@ class Warehouse:
     def create(self, tables: Sequence[str] = tuple(TABLES)) -> None:
         """Declare the databases and the tables that do not exist yet."""
         for table in tables:
-            self._declare(spec_of(table), f"{self.root}/{table.replace('.', '/')}/empty")
+            self._declare(self.spec(table), f"{self.root}/{table.replace('.', '/')}/empty")
 
     def _declare(self, spec: TableSpec, path: str) -> None:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{spec.layer}")
@@ -67,7 +83,7 @@ class Warehouse:
 
     def overwrite(self, table: str, df: DataFrame, run_ts: dt.datetime | None = None) -> int:
         """Replace the whole table and give the number of rows written. Columns are matched by name."""
-        spec = spec_of(table)
+        spec = self.spec(table)
         arranged = layout.balanced(conform(stamped(df, spec.layer, run_ts), table), spec.partition)
         written = Observation()
         counted = arranged.observe(written, F.count(F.lit(1)).alias("rows"))
@@ -81,7 +97,7 @@ class Warehouse:
 
         When the keys include the partition columns, only the partitions with updates are rewritten.
         """
-        spec = spec_of(table)
+        spec = self.spec(table)
         batch = materialise(conform(stamped(updates, spec.layer, run_ts), table), f"updates-{spec.name}")
         target = self.read(table)
         partial = bool(spec.partition) and set(spec.partition) <= set(keys)
@@ -98,7 +114,7 @@ class Warehouse:
 
     def compact(self, table: str, file_bytes: int = TARGET_FILE_BYTES) -> None:
         """Rewrite the table into files of about ``file_bytes``."""
-        spec = spec_of(table)
+        spec = self.spec(table)
         rows = layout.packed(self.spark, self.name(table), spec.partition, file_bytes)
         self._point(spec, self._write(spec, rows))
 
@@ -106,7 +122,7 @@ class Warehouse:
         self, table: str, columns: Sequence[str] | None = None, file_bytes: int = TARGET_FILE_BYTES
     ) -> None:
         """Rewrite the table so that rows near in ``columns`` share files, which lets scans skip the rest."""
-        spec = spec_of(table)
+        spec = self.spec(table)
         files = max(1, -(-self.size(table) // file_bytes))
         rows = layout.clustered(
             self.spark, self.name(table), list(columns or spec.clustering), spec.partition, files

@@ -32,15 +32,19 @@ def build_session(app: str = "bodega", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
-def scale_settings(input_bytes: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
-    """Shuffle settings for an input size: start wide, let AQE merge small partitions.
+# More reducers than this cost more in shuffle bookkeeping than they save in memory per task.
+MOST_SHUFFLE_PARTITIONS = 20_000
 
-    AQE can merge partitions but only splits skewed ones, so the starting number has to fit the
-    largest shuffle (about the input size) at ``partition_bytes`` each.
+
+def scale_settings(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Scan and shuffle settings for an input size: start wide, let AQE merge small partitions.
+
+    AQE merges partitions but splits only skewed ones, so the starting number has to suit the largest
+    shuffle. Beyond ``MOST_SHUFFLE_PARTITIONS`` partitions grow instead: sorts and aggregates spill.
     """
-    wanted = max(200, -(-input_bytes // partition_bytes))
+    reducers = min(MOST_SHUFFLE_PARTITIONS, max(200, -(-input_bytes // partition_bytes)))
     return {
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(wanted),
+        "spark.sql.shuffle.partitions": str(reducers),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
     }

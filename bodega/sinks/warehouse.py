@@ -12,7 +12,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from bodega.operators import layout
@@ -32,6 +32,12 @@ def stamped(df: DataFrame, layer: str, run_ts: dt.datetime | None) -> DataFrame:
     return df.withColumn(STAMPS[layer], F.current_timestamp() if run_ts is None else F.lit(run_ts))
 
 
+def _one_of(column: str, values: set) -> Column:
+    """A filter on literal values, NULL included, that prunes partitions while the scan is planned."""
+    known = F.col(column).isin(*[value for value in values if value is not None])
+    return known | F.col(column).isNull() if None in values else known
+
+
 class Warehouse:
     """Tables below ``root``; ``prefix`` keeps several warehouses apart in one catalog.
 
@@ -95,20 +101,19 @@ class Warehouse:
     ) -> None:
         """Replace the rows that match ``updates`` on ``keys`` and add the others.
 
-        When the keys include the partition columns, only the partitions with updates are rewritten.
+        When the keys include the partition columns, only the partitions with updates are read and rewritten.
         """
         spec = self.spec(table)
         batch = materialise(conform(stamped(updates, spec.layer, run_ts), table), f"updates-{spec.name}")
         target = self.read(table)
         partial = bool(spec.partition) and set(spec.partition) <= set(keys)
-        if partial:
-            touched = batch.select(*[F.col(c).alias(f"touched_{c}") for c in spec.partition]).distinct()
-            same = [F.col(c).eqNullSafe(F.col(f"touched_{c}")) for c in spec.partition]
-            target = target.join(touched, same, "left_semi")
+        touched = batch.select(*spec.partition).distinct().collect() if partial else []
+        for column in spec.partition if partial else ():
+            target = target.filter(_one_of(column, {row[column] for row in touched}))
         require_unambiguous(target, batch, keys)
         path = self._write(spec, layout.balanced(merged(target, batch, keys), spec.partition))
         if partial:
-            self._point_partitions(spec, path, batch.select(*spec.partition).distinct())
+            self._point_partitions(spec, path, touched)
         else:
             self._point(spec, path)
 
@@ -159,10 +164,10 @@ class Warehouse:
                 self.spark.sql(f"MSCK REPAIR TABLE {name}")
         self.spark.sql(f"REFRESH TABLE {name}")
 
-    def _point_partitions(self, spec: TableSpec, path: str, touched: DataFrame) -> None:
+    def _point_partitions(self, spec: TableSpec, path: str, touched: Sequence[Row]) -> None:
         """Point the catalog entries of the rewritten partitions at ``path``; one entry per partition."""
         name = self.name(spec.key)
-        for row in touched.collect():
+        for row in touched:
             values = [(column, row[column]) for column in spec.partition]
             where = ", ".join(f"{c} = " + ("null" if v is None else f"'{v}'") for c, v in values)
             folder = "/".join(f"{c}={_NULL_FOLDER if v is None else v}" for c, v in values)

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from bodega.session import each
 from bodega.sinks.warehouse import Warehouse
 
 # Gives the source rows of a bronze table.
@@ -34,7 +35,7 @@ def load(warehouse: Warehouse, read: Reader, table: str, run_ts: dt.datetime | N
 def load_all(
     warehouse: Warehouse, read: Reader, tables: Iterable[str], run_ts: dt.datetime | None = None
 ) -> list[Loaded]:
-    return [load(warehouse, read, table, run_ts) for table in tables]
+    return each(lambda table: load(warehouse, read, table, run_ts), tables)
 
 
 def status(results: list[Loaded]) -> str:

@@ -6,9 +6,11 @@ import datetime as dt
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
+from pyspark.sql import DataFrame
+
 from bodega.plans import gold, ingest, silver
 from bodega.schemas import CLUSTERING, TABLES
-from bodega.session import materialise
+from bodega.session import each, materialise
 from bodega.sinks.warehouse import Warehouse
 from bodega.sources.calendar import days_between
 
@@ -48,36 +50,48 @@ def to_silver(warehouse: Warehouse, run: Run) -> None:
         "proveedores_clean": silver.proveedores(bronze["proveedores"]),
         "inventario_clean": silver.inventario(bronze["inventario"], run.as_of),
     }
-    for name, df in datasets.items():
-        run.rows[f"silver.{name}"] = warehouse.overwrite(f"silver.{name}", df, run.run_ts)
+
+    def store(name: str) -> None:
+        run.rows[f"silver.{name}"] = warehouse.overwrite(f"silver.{name}", datasets[name], run.run_ts)
+
+    each(store, datasets)
 
 
 def to_gold(warehouse: Warehouse, run: Run) -> None:
-    """Dimensions, then sales, then stock. A frame that several tables need is written once, unrounded."""
+    """Dimensions, sales and stock side by side. A frame that several tables need is written once, unrounded."""
+    names = ("clientes", "productos", "inventario", "ventas", "detalle_ventas")
+    clean = {name: warehouse.read(f"silver.{name}_clean") for name in names}
 
-    def store(name: str, df) -> None:
+    def store(name: str, df: DataFrame) -> None:
         run.rows[f"gold.{name}"] = warehouse.overwrite(f"gold.{name}", df)
 
-    clean = {name: warehouse.read(f"silver.{name}_clean") for name in
-             ("clientes", "productos", "inventario", "ventas", "detalle_ventas")}
-    store("dim_tiempo", gold.dim_tiempo(days_between(warehouse.spark, gold.CALENDAR_START, gold.CALENDAR_END)))
-    store("dim_clientes", gold.dim_clientes(clean["clientes"], run.run_ts))
-    store("dim_productos", gold.dim_productos(clean["productos"], run.run_ts))
-    store("dim_sucursales", gold.dim_sucursales(warehouse.read("bronze.sucursales"), run.run_ts))
-
-    sales = materialise(
-        gold.fact_ventas(clean["ventas"], clean["detalle_ventas"], clean["productos"], run.run_ts), "fact_ventas"
-    )
-    store("fact_ventas", sales)
-    store("fact_kpis_diarios", gold.kpis_diarios(sales))
-    store("fact_analisis_clientes", gold.analisis_clientes(sales, run.as_of))
-    store("fact_rendimiento_productos", gold.rendimiento_productos(clean["detalle_ventas"], clean["productos"]))
-
-    # Stock values are exact at two places, so the stored table serves the KPIs and alerts as well.
-    store("fact_inventario", gold.fact_inventario(clean["inventario"], clean["productos"], run.as_of, run.run_ts))
-    stock = warehouse.read("gold.fact_inventario")
-    store("fact_kpis_inventario", gold.kpis_inventario(stock))
-    store("fact_alertas_inventario", gold.alertas_inventario(stock, run.run_ts))
+    def dimensions() -> None:
+        days = days_between(warehouse.spark, gold.CALENDAR_START, gold.CALENDAR_END)
+        store("dim_tiempo", gold.dim_tiempo(days))
+        store("dim_clientes", gold.dim_clientes(clean["clientes"], run.run_ts))
+        store("dim_productos", gold.dim_productos(clean["productos"], run.run_ts))
+        store("dim_sucursales", gold.dim_sucursales(warehouse.read("bronze.sucursales"), run.run_ts))
+
+    def sales() -> None:
+        unrounded = gold.fact_ventas(clean["ventas"], clean["detalle_ventas"], clean["productos"], run.run_ts)
+        fact = materialise(unrounded, "fact_ventas")
+        store("fact_ventas", fact)
+        store("fact_kpis_diarios", gold.kpis_diarios(fact))
+        store("fact_analisis_clientes", gold.analisis_clientes(fact, run.as_of))
+
+    def products() -> None:
+        performance = gold.rendimiento_productos(clean["detalle_ventas"], clean["productos"])
+        store("fact_rendimiento_productos", performance)
+
+    def stock() -> None:
+        lots = gold.fact_inventario(clean["inventario"], clean["productos"], run.as_of, run.run_ts)
+        store("fact_inventario", lots)
+        # Stock values are exact at two places, so the stored table serves the KPIs and alerts as well.
+        stored = warehouse.read("gold.fact_inventario")
+        store("fact_kpis_inventario", gold.kpis_inventario(stored))
+        store("fact_alertas_inventario", gold.alertas_inventario(stored, run.run_ts))
+
+    each(lambda part: part(), (sales, products, stock, dimensions))
 
 
 def optimise(warehouse: Warehouse, tables: Iterable[str] | None = None) -> None:

@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SYNC_STAMP = "_sync_timestamp"
@@ -201,13 +201,26 @@ def spec_of(table: str) -> TableSpec:
 
 
 def conform(df: DataFrame, table: str, without: tuple[str, ...] = ()) -> DataFrame:
-    """Columns of ``df`` by name, cast to the declared types and in the declared order."""
+    """Columns of ``df`` by name, cast to the declared types and in the declared order.
+
+    A value that does not fit its type fails the query, whether or not the session checks casts itself.
+    """
     wanted = [(name, kind) for name, kind in spec_of(table).columns if name not in without]
     names = {name for name, _ in wanted}
     missing, unknown = names - set(df.columns), set(df.columns) - names
     if missing or unknown:
         raise ValueError(f"{table}: missing columns {sorted(missing)}, undeclared columns {sorted(unknown)}")
-    return df.select(*[F.col(name).cast(kind).alias(name) for name, kind in wanted])
+    checked_by_spark = df.sparkSession.conf.get("spark.sql.ansi.enabled").lower() == "true"
+
+    def column(name: str, kind: str) -> Column:
+        given = F.col(name)
+        if checked_by_spark:
+            return given.cast(kind).alias(name)
+        fitted = given.try_cast(kind)
+        problem = F.raise_error(F.lit(f"{table}.{name}: value does not fit {kind}"))
+        return F.when(given.isNotNull() & fitted.isNull(), problem).otherwise(fitted).alias(name)
+
+    return df.select(*[column(name, kind) for name, kind in wanted])
 
 
 def schema_rows() -> list[tuple[str, str, int, str, str, bool]]:

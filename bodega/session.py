@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -81,3 +83,9 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def each(function: Callable, items: Iterable, at_once: int = 4) -> list:
+    """``function`` of every item, several at a time, so that small jobs share the cluster with large ones."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(function, items))

@@ -143,15 +143,10 @@ class Warehouse:
         return int(found.group()) if found else 0
 
     def _write(self, spec: TableSpec, df: DataFrame) -> str:
-        self._require_checked_casts()
         path = f"{self.root}/{spec.layer}/{spec.name}/{dt.datetime.now():%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
         df.write.partitionBy(*spec.partition).parquet(path)
         return path
 
-    def _require_checked_casts(self) -> None:
-        if self.spark.conf.get("spark.sql.ansi.enabled").lower() != "true":
-            raise ValueError("set spark.sql.ansi.enabled: without it a value too large is stored as NULL")
-
     def _point(self, spec: TableSpec, path: str) -> None:
         name = self.name(spec.key)
         if not spec.partition and self.spark.catalog.tableExists(name):

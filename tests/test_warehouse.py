@@ -98,13 +98,17 @@ def test_a_failed_write_leaves_the_table_as_it_was(new_warehouse, spark):
     assert warehouse.read(LINES).first().subtotal == 1
 
 
-def test_write_needs_checked_casts(new_warehouse, spark, stock):
+def test_a_value_that_does_not_fit_fails_without_ansi_too(new_warehouse, spark, stock):
     spark.conf.set("spark.sql.ansi.enabled", "false")
     try:
-        with pytest.raises(ValueError, match="ansi"):
-            new_warehouse().overwrite(STOCK, stock([(1, 10, 5)]))
+        warehouse = new_warehouse()
+        warehouse.overwrite(STOCK, stock([(1, 10, 5), (2, 10, None)]))
+        too_large = stock([(1, 10, 5)]).withColumn("cantidad", F.lit(1 << 40))
+        with pytest.raises(Exception, match="cantidad: value does not fit INT"):
+            warehouse.overwrite(STOCK, too_large)
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
+    assert quantities(warehouse) == [(1, 10, 5), (2, 10, None)]
 
 
 def test_columns_must_match_the_declaration(stock):

@@ -1,8 +1,8 @@
 """Time the registered queries and print one JSON line.
 
-Each query runs twice and the second, warm time counts; ``cold`` has the first. Results go to Spark's ``noop``
-sink, so every row is computed and none is kept. ``pipeline`` times one full refresh by layer, all 26 tables
-written; the day-partitioned tables go to plain files there, because the test data has few rows per day.
+A few queries run first to warm the JVM; then each runs once. Results go to Spark's ``noop`` sink, so every row
+is computed and none is kept. ``pipeline`` times one full refresh by layer, all 26 tables written; the
+day-partitioned tables go to plain files there, because the test data has few rows per day.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from bodega.sources.tpch import AS_OF, COLUMNS, RUN_TS, TpchTables
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
+WARM_UP = ("bi_revenue_by_nation", "kpis_diarios", "layout_compact")
 
 
 def timed(query, spark) -> float:
@@ -55,15 +56,15 @@ def main(names: list[str]) -> None:
         spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
-    chosen = {name: query for name, query in registry.queries().items() if not names or name in names}
-    cold = {name: timed(query, spark) for name, query in chosen.items()}
-    warm = {name: timed(query, spark) for name, query in chosen.items()}
+    queries = registry.queries()
+    for name in WARM_UP:
+        timed(queries[name], spark)
+    seconds = {name: timed(query, spark) for name, query in queries.items() if not names or name in names}
     result = {
-        "metric": "total warm time of all registered queries",
-        "value": round(sum(warm.values()), 3),
+        "metric": "total time of all registered queries",
+        "value": round(sum(seconds.values()), 3),
         "unit": "sec",
-        "queries": warm,
-        "cold": cold,
+        "queries": seconds,
         "pipeline": {} if names else refresh(spark),
         "sf": os.path.basename(FOLDER.rstrip("/")),
     }

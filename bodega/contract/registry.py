@@ -16,7 +16,7 @@ from bodega.operators import quality
 from bodega.operators.dedup import one_per_key
 from bodega.plans import gold, ingest, reports, silver
 from bodega.schemas import SYNC_STAMP
-from bodega.session import scratch_path
+from bodega.session import materialise, scratch_path
 from bodega.sinks.share import publish
 from bodega.sinks.warehouse import Warehouse
 from bodega.sources.calendar import days_covering
@@ -227,7 +227,7 @@ def _lines(t: TpchTables) -> DataFrame:
 
 
 def _sales(t: TpchTables) -> DataFrame:
-    return gold.fact_ventas(silver_ventas(t), silver_detalle(t), silver_productos(t), RUN_TS)
+    return gold.fact_ventas(silver_ventas(t), gold.line_rollup(_lines(t)), RUN_TS)
 
 
 def _stock(t: TpchTables) -> DataFrame:
@@ -346,11 +346,16 @@ def upsert_kpis_diarios(t: TpchTables) -> DataFrame:
     """The latest days are restated with pending sales counted as completed."""
     warehouse = _scratch_warehouse(t, "upsert")
     table = "gold.fact_kpis_diarios"
-    warehouse.overwrite(table, gold.kpis_diarios(_sales(t)))
-    late = t.bronze("ventas").filter(F.col("fecha_hora") >= F.lit(RESTATED_FROM).cast("timestamp"))
+    per_sale = materialise(gold.line_rollup(_lines(t)), "line_rollup")
+
+    def kpis(bronze: DataFrame) -> DataFrame:
+        return gold.kpis_diarios(gold.fact_ventas(silver.ventas(bronze), per_sale, RUN_TS))
+
+    sales = t.bronze("ventas")
+    late = sales.filter(F.col("fecha_hora") >= F.lit(RESTATED_FROM).cast("timestamp"))
     restated = late.filter("estatus <> 'cancelada'").withColumn("estatus", F.lit(silver.COMPLETED))
-    sales = gold.fact_ventas(silver.ventas(restated), silver_detalle(t), silver_productos(t), RUN_TS)
-    warehouse.upsert(table, gold.kpis_diarios(sales), ["fecha_key", "sucursal_key"])
+    warehouse.overwrite(table, kpis(sales))
+    warehouse.upsert(table, kpis(restated), ["fecha_key", "sucursal_key"])
     return warehouse.read(table)
 
 

@@ -73,8 +73,8 @@ def to_gold(warehouse: Warehouse, run: Run) -> None:
         store("dim_sucursales", gold.dim_sucursales(warehouse.read("bronze.sucursales"), run.run_ts))
 
     def sales() -> None:
-        unrounded = gold.fact_ventas(clean["ventas"], clean["detalle_ventas"], clean["productos"], run.run_ts)
-        fact = materialise(unrounded, "fact_ventas")
+        per_sale = gold.line_rollup(gold.lines_with_margin(clean["detalle_ventas"], clean["productos"]))
+        fact = materialise(gold.fact_ventas(clean["ventas"], per_sale, run.run_ts), "fact_ventas")
         store("fact_ventas", fact)
         store("fact_kpis_diarios", gold.kpis_diarios(fact))
         store("fact_analisis_clientes", gold.analisis_clientes(fact, run.as_of))

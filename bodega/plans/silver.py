@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from bodega.functions import rules
 from bodega.operators.dedup import one_per_key
-from bodega.schemas import SYNC_STAMP, TRANSFORM_STAMP, conform
+from bodega.schemas import SYNC_STAMP, TRANSFORM_STAMP, conform, spec_of
 
 COMPLETED = "completada"
 
@@ -36,6 +36,9 @@ CHECKS: dict[str, dict[str, str]] = {
     "inventario": {"cantidad_no_negativa": "cantidad_actual >= 0"},
 }
 
+# Products carry no category or supplier of their own yet.
+UNCLASSIFIED = {"categoria": "General", "categoria_grupo": "Abarrotes", "proveedor_id": 0}
+
 # A sale line whose subtotal is off by this much or more is rejected.
 RECONCILIATION_LIMIT = 1
 
@@ -53,31 +56,24 @@ def accepted(bronze: DataFrame, table: str, columns: Sequence[str]) -> DataFrame
 
 
 def _finish(df: DataFrame, table: str) -> DataFrame:
-    return conform(df, f"silver.{table}", without=(TRANSFORM_STAMP,))
+    """The declared columns in their declared types; the writer adds the stamp."""
+    kept = [name for name in spec_of(f"silver.{table}").names if name != TRANSFORM_STAMP]
+    return conform(df.select(*kept), f"silver.{table}", without=(TRANSFORM_STAMP,))
 
 
 def ventas(bronze: DataFrame) -> DataFrame:
-    moment = F.col("fecha_hora")
-    rows = accepted(
-        bronze, "ventas", ["id", "fecha_hora", "cliente_id", "sucursal_id", "total", "estatus", "metodo_pago"]
-    )
-    return _finish(
-        rows.select(
-            F.col("id").alias("venta_id"),
-            moment.alias("fecha"),
-            "cliente_id",
-            "sucursal_id",
-            "total",
-            F.col("estatus").alias("estado"),
-            "metodo_pago",
-            F.to_date(moment).alias("fecha_date"),
-            F.hour(moment).alias("hora"),
-            F.dayofweek(moment).alias("dia_semana"),
-            rules.is_weekend(moment).alias("es_fin_semana"),
-            rules.day_part(moment).alias("periodo_dia"),
-        ),
-        "ventas_clean",
-    )
+    columns = ["id", "fecha_hora", "cliente_id", "sucursal_id", "total", "estatus", "metodo_pago"]
+    renames = {"id": "venta_id", "fecha_hora": "fecha", "estatus": "estado"}
+    moment = F.col("fecha")
+    parts = {
+        "fecha_date": F.to_date(moment),
+        "hora": F.hour(moment),
+        "dia_semana": F.dayofweek(moment),
+        "es_fin_semana": rules.is_weekend(moment),
+        "periodo_dia": rules.day_part(moment),
+    }
+    sales = accepted(bronze, "ventas", columns).withColumnsRenamed(renames)
+    return _finish(sales.withColumns(parts), "ventas_clean")
 
 
 def reconciled(lines: DataFrame) -> DataFrame:
@@ -110,21 +106,11 @@ def clientes(bronze: DataFrame, as_of: dt.date) -> DataFrame:
 
 def productos(bronze: DataFrame) -> DataFrame:
     """The stored margin is rounded to two places; everything in gold starts from that rounded value."""
-    rows = accepted(bronze, "productos", ["id", "nombre", "precio_venta", "precio_compra"])
-    price, cost = F.col("precio_venta"), F.col("precio_compra")
-    return _finish(
-        rows.select(
-            F.col("id").alias("producto_id"),
-            "nombre",
-            F.lit("General").alias("categoria"),
-            price.alias("precio"),
-            cost.alias("costo"),
-            F.lit(0).alias("proveedor_id"),
-            rules.margin_percent(price, cost).alias("margen"),
-            F.lit("Abarrotes").alias("categoria_grupo"),
-        ),
-        "productos_clean",
-    )
+    renames = {"id": "producto_id", "precio_venta": "precio", "precio_compra": "costo"}
+    rows = accepted(bronze, "productos", ["nombre", *renames]).withColumnsRenamed(renames)
+    margin = rules.margin_percent(F.col("precio"), F.col("costo"))
+    constants = {name: F.lit(value) for name, value in UNCLASSIFIED.items()}
+    return _finish(rows.withColumns({"margen": margin, **constants}), "productos_clean")
 
 
 def proveedores(bronze: DataFrame) -> DataFrame:

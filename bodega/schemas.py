@@ -200,6 +200,14 @@ def spec_of(table: str) -> TableSpec:
     return TABLES[table]
 
 
+def declared(df: DataFrame, table: str) -> DataFrame:
+    """The declared columns of ``table`` out of ``df``, types and all other columns left aside.
+
+    Datasets say only what they rename and compute; which columns make up the result is said here, once.
+    """
+    return df.select(*spec_of(table).names)
+
+
 def conform(df: DataFrame, table: str, without: tuple[str, ...] = ()) -> DataFrame:
     """Columns of ``df`` by name, cast to the declared types and in the declared order.
 

@@ -65,7 +65,7 @@ def sales(silver_rows):
 
 @pytest.fixture
 def fact(sales, lines, products):
-    return gold.fact_ventas(sales, lines, products, RUN_TS)
+    return gold.fact_ventas(sales, gold.line_rollup(gold.lines_with_margin(lines, products)), RUN_TS)
 
 
 def test_sale_measures(fact):

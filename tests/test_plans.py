@@ -75,7 +75,8 @@ def test_sales_join_needs_no_second_shuffle_of_either_side(bronze_files, no_broa
     sales = silver.ventas(bronze_files["ventas"])
     lines = silver.detalle_ventas(bronze_files["detalle_ventas"])
     products = silver.productos(bronze_files["productos"])
-    physical = plan_of(gold.fact_ventas(sales, lines, products, RUN_TS)).split("== Physical Plan ==")[1]
+    per_sale = gold.line_rollup(gold.lines_with_margin(lines, products))
+    physical = plan_of(gold.fact_ventas(sales, per_sale, RUN_TS)).split("== Physical Plan ==")[1]
     # one each for the three dedups, one for the margin lookup, one for the rollup; the join on the sale adds none
     assert physical.count("Exchange hashpartitioning") == 5
 

@@ -48,13 +48,12 @@ def refresh(spark) -> dict[str, float]:
 
 
 def main(names: list[str]) -> None:
-    spark = build_session(
-        "bodega-bench",
-        f"local[{CPUS}]",
-        spark__sql__shuffle__partitions=CPUS,
-        spark__driver__memory="8g",
-        spark__ui__showConsoleProgress="false",
-    )
+    settings = {
+        "spark.sql.shuffle.partitions": CPUS,
+        "spark.driver.memory": "8g",
+        "spark.ui.showConsoleProgress": "false",
+    }
+    spark = build_session("bodega-bench", f"local[{CPUS}]", settings)
     spark.sparkContext.setLogLevel("ERROR")
     queries = registry.queries()
     for name in WARM_UP:

@@ -10,20 +10,24 @@ from pyspark.sql import functions as F
 
 from bodega.plans import silver
 
-ALL_CHECKS = "todas"
+ALL_CHECKS, UNIQUE = "todas", "unicas"
 
 
 def table_report(bronze: DataFrame, table: str) -> DataFrame:
-    """(tabla, regla, filas_entrada, filas_validas) for each check of ``table`` and for all together.
+    """(tabla, regla, filas_entrada, filas_validas) for each check of ``table``, for all together, and for the
+    rows left when each id is kept once.
 
-    One aggregate over the table counts every rule; the row is then turned into one row per rule.
+    One aggregate over the table counts everything; its row is then turned into one row per rule. The id is
+    wrapped in a struct because a distinct count leaves out NULL, but the dedup keeps one row of it.
     """
-    rules = {name: F.expr(check) for name, check in silver.CHECKS[table].items()}
-    rules[ALL_CHECKS] = silver.all_checks(table)
+    valid = silver.all_checks(table)
+    rules = {name: F.expr(check) for name, check in silver.CHECKS[table].items()} | {ALL_CHECKS: valid}
     counts = bronze.agg(
-        F.count(F.lit(1)).alias("filas_entrada"), *[F.count_if(check).alias(name) for name, check in rules.items()]
+        F.count(F.lit(1)).alias("filas_entrada"),
+        F.count_distinct(F.when(valid, F.struct("id"))).alias(UNIQUE),
+        *[F.count_if(check).alias(name) for name, check in rules.items()],
     )
-    kept = counts.unpivot("filas_entrada", list(rules), "regla", "filas_validas")
+    kept = counts.unpivot("filas_entrada", [*rules, UNIQUE], "regla", "filas_validas")
     return kept.select(F.lit(table).alias("tabla"), "regla", "filas_entrada", "filas_validas")
 
 

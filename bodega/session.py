@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,24 +12,25 @@ from pyspark.sql import DataFrame, SparkSession
 _local_folders: dict[str, str] = {}
 
 
-def build_session(app: str = "bodega", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings every job here relies on; ``conf`` wins over the defaults.
+def build_session(
+    app: str = "bodega", master: str | None = None, settings: Mapping[str, str] | None = None
+) -> SparkSession:
+    """A session with the settings every job here relies on; ``settings`` win over the defaults.
 
     ANSI mode makes a narrowing cast raise instead of storing NULL. The time zone decides
     which calendar day and hour a sale belongs to, so it is always explicit.
     """
-    settings = {
+    defaults = {
         "spark.sql.ansi.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
     }
-    settings.update({key.replace("__", "."): str(value) for key, value in conf.items()})
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in settings.items():
+    for key, value in {**defaults, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

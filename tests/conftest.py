@@ -20,14 +20,13 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = build_session(
-        "bodega-tests",
-        "local[4]",
-        spark__sql__shuffle__partitions="4",
-        spark__driver__memory="4g",
-        spark__ui__showConsoleProgress="false",
-        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("spark-warehouse")),
-    )
+    settings = {
+        "spark.sql.shuffle.partitions": "4",
+        "spark.driver.memory": "4g",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("spark-warehouse")),
+    }
+    session = build_session("bodega-tests", "local[4]", settings)
     session.sparkContext.setLogLevel("ERROR")
     return session
 

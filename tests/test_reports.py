@@ -50,7 +50,11 @@ def test_nation_weight(spark):
         "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
     )
     lineitem = spark.createDataFrame(
-        [(10, Decimal("100.00"), Decimal("0.10")), (10, Decimal("10.00"), Decimal("0.00")), (11, Decimal(5), Decimal(0))],
+        [
+            (10, Decimal("100.00"), Decimal("0.10")),
+            (10, Decimal("10.00"), Decimal("0.00")),
+            (11, Decimal("5.00"), Decimal("0.00")),
+        ],
         "l_orderkey bigint, l_extendedprice decimal(12,2), l_discount decimal(4,2)",
     )
     (row,) = reports.revenue_by_nation(customer, orders, lineitem, nation).collect()
@@ -59,7 +63,9 @@ def test_nation_weight(spark):
 
 
 def test_ship_mode_column_is_the_default(spark):
-    orders = spark.createDataFrame([(1, "1-URGENT", dt.date(2000, 1, 1))], "o_orderkey int, o_orderpriority string, o_orderdate date")
+    orders = spark.createDataFrame(
+        [(1, "1-URGENT", dt.date(2000, 1, 1))], "o_orderkey int, o_orderpriority string, o_orderdate date"
+    )
     lineitem = spark.createDataFrame([(1, "AIR"), (1, "AIR"), (1, "RAIL")], "l_orderkey int, l_shipmode string")
     rows = [tuple(row) for row in reports.orders_by_priority(orders, lineitem).collect()]
     assert rows == [("1-URGENT", "AIR", dt.date(2000, 1, 1), 2), ("1-URGENT", "RAIL", dt.date(2000, 1, 1), 1)]

@@ -137,7 +137,8 @@ def test_productos(bronze):
 def test_inventario(bronze):
     def lot(number, quantity, days):
         expiry = None if days is None else AS_OF + dt.timedelta(days=days)
-        return {"id": number, "producto_id": 1, "sucursal_id": 1, "cantidad_actual": quantity, "fecha_caducidad": expiry}
+        stored = {"producto_id": 1, "sucursal_id": 1, "cantidad_actual": quantity, "fecha_caducidad": expiry}
+        return {"id": number, **stored}
 
     rows = [lot(1, -1, 5), lot(2, 0, -1), lot(3, 9, 30), lot(4, 10, None), lot(5, None, 5)]
     kept = by_key(silver.inventario(bronze("inventario", rows), AS_OF), "inventario_id")
@@ -170,10 +171,12 @@ def test_a_hot_key_and_null_keys_collapse(spark):
 
 def test_quality_report_counts_each_rule_and_all_together(bronze):
     rows = [sale(1), sale(2, total=Decimal("0.00")), sale(3, estatus="x"), sale(4, total=None, estatus=None)]
+    rows += [sale(1, cliente_id=2), sale(None), sale(None, cliente_id=2)]
     found = by_key(quality.report({"ventas": bronze("ventas", rows)}), "regla")
     assert {name: (row.filas_entrada, row.filas_validas) for name, row in found.items()} == {
-        "total_positivo": (4, 2),
-        "completada": (4, 2),
-        "con_fecha": (4, 4),
-        "todas": (4, 1),
+        "total_positivo": (7, 5),
+        "completada": (7, 5),
+        "con_fecha": (7, 7),
+        "todas": (7, 4),
+        "unicas": (7, 2),
     }

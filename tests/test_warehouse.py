@@ -206,6 +206,25 @@ def test_compaction_of_a_partitioned_table(new_warehouse, stock):
     assert quantities(warehouse) == before and files(warehouse, STOCK) == 3
 
 
+def test_measured_size_does_not_outlive_the_files(new_warehouse, spark, stock):
+    """A size kept from smaller files could make Spark broadcast a large table."""
+
+    def believed(warehouse, table):
+        plan = warehouse.spark.table(warehouse.name(table))._jdf.queryExecution().optimizedPlan()
+        return int(plan.stats().sizeInBytes())
+
+    warehouse = new_warehouse()
+    warehouse.overwrite(LINES, lines_frame(spark, 10, 1), RUN_TS)
+    small = warehouse.size(LINES)
+    warehouse.overwrite(LINES, lines_frame(spark, 40_000, 4), RUN_TS)
+    assert believed(warehouse, LINES) > 10 * small
+    warehouse.overwrite(STOCK, stock([(1, 1, 1)]))
+    small = warehouse.size(STOCK)
+    many = [(n, 1, n % 7) for n in range(20_000)]
+    warehouse.upsert(STOCK, stock(many), ["sucursal_id", "inventario_id"])
+    assert believed(warehouse, STOCK) > 5 * small
+
+
 def test_clustering_narrows_the_range_of_both_columns(new_warehouse, spark):
     warehouse = new_warehouse()
     warehouse.overwrite(LINES, lines_frame(spark, 40_000, 16), RUN_TS)

@@ -35,17 +35,13 @@ _registered: dict[str, Query] = {}
 def portable(df: DataFrame) -> DataFrame:
     """Decimals as doubles (after rounding to their scale), dates as text, session timestamps as plain ones."""
 
-    def column(name: str, kind: str):
-        value = F.col(f"`{name}`")
-        if kind.startswith("decimal"):
-            return value.cast("double").alias(name)
-        if kind == "date":
-            return value.cast("string").alias(name)
-        if kind == "timestamp":
-            return value.cast("timestamp_ntz").alias(name)
-        return value.alias(name)
-
-    return df.select(*[column(name, kind) for name, kind in df.dtypes])
+    as_sql = {"date": "CAST(`{0}` AS STRING)", "timestamp": "CAST(`{0}` AS TIMESTAMP_NTZ)"}
+
+    def column(name: str, kind: str) -> str:
+        form = "CAST(`{0}` AS DOUBLE)" if kind.startswith("decimal") else as_sql.get(kind, "`{0}`")
+        return f"{form.format(name)} AS `{name}`"
+
+    return df.selectExpr(*[column(name, kind) for name, kind in df.dtypes])
 
 
 def registered(query: Callable[[TpchTables], DataFrame]) -> Callable[[TpchTables], DataFrame]:

@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,7 +43,7 @@ RECONCILIATION_LIMIT = 1
 
 
 def all_checks(table: str) -> Column:
-    return reduce(lambda left, right: left & right, map(F.expr, CHECKS[table].values()))
+    return F.expr(" AND ".join(f"({check})" for check in CHECKS[table].values()))
 
 
 def accepted(bronze: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:

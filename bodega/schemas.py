@@ -9,8 +9,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 SYNC_STAMP = "_sync_timestamp"
 TRANSFORM_STAMP = "_transform_timestamp"
@@ -220,15 +219,14 @@ def conform(df: DataFrame, table: str, without: tuple[str, ...] = ()) -> DataFra
         raise ValueError(f"{table}: missing columns {sorted(missing)}, undeclared columns {sorted(unknown)}")
     checked_by_spark = df.sparkSession.conf.get("spark.sql.ansi.enabled").lower() == "true"
 
-    def column(name: str, kind: str) -> Column:
-        given = F.col(name)
+    def column(name: str, kind: str) -> str:
         if checked_by_spark:
-            return given.cast(kind).alias(name)
-        fitted = given.try_cast(kind)
-        problem = F.raise_error(F.lit(f"{table}.{name}: value does not fit {kind}"))
-        return F.when(given.isNotNull() & fitted.isNull(), problem).otherwise(fitted).alias(name)
+            return f"CAST({name} AS {kind}) AS {name}"
+        fitted, problem = f"TRY_CAST({name} AS {kind})", f"{table}.{name}: value does not fit {kind}"
+        lost = f"{name} IS NOT NULL AND {fitted} IS NULL"
+        return f"CASE WHEN {lost} THEN RAISE_ERROR('{problem}') ELSE {fitted} END AS {name}"
 
-    return df.select(*[column(name, kind) for name, kind in wanted])
+    return df.selectExpr(*[column(name, kind) for name, kind in wanted])
 
 
 def schema_rows() -> list[tuple[str, str, int, str, str, bool]]:

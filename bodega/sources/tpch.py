@@ -10,6 +10,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from bodega.schemas import SYNC_STAMP, spec_of
 
@@ -104,36 +105,42 @@ COLUMNS: dict[str, dict[str, str]] = {
 }
 
 
+_known_schemas: dict[tuple[str, str], StructType] = {}
+
+
 class TpchTables:
-    """The parquet tables of one folder."""
+    """The parquet tables of one folder. Their files are read-only, so each schema is looked up once per session."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        key = (self.spark.sparkContext.applicationId, path)
+        if key not in _known_schemas:
+            _known_schemas[key] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_known_schemas[key]).parquet(path)
 
     def money(self, name: str, **decimals: str) -> DataFrame:
         """A raw table with some columns as exact decimals, so that sums do not depend on row order."""
         return self.raw(name).withColumns({column: F.col(column).cast(kind) for column, kind in decimals.items()})
 
     def _source_rows(self, table: str) -> DataFrame:
-        nation = self.raw("nation")
         if table == "ventas":
             return self.raw("orders")
         if table == "detalle_ventas":
             return self.raw("lineitem")
         if table == "clientes":
-            customer = self.raw("customer")
+            customer, nation = self.raw("customer"), self.raw("nation")
             return customer.join(nation, customer.c_nationkey == nation.n_nationkey)
         if table in ("productos", "productos_erp"):
             return self.raw("part")
         if table == "proveedores":
-            supplier = self.raw("supplier")
+            supplier, nation = self.raw("supplier"), self.raw("nation")
             return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
         if table == "sucursales":
-            region = self.raw("region")
+            nation, region = self.raw("nation"), self.raw("region")
             return nation.join(region, nation.n_regionkey == region.r_regionkey)
         if table == "inventario":
             # Each product is stocked in every fifth branch: five lots per product, no join needed.
@@ -155,11 +162,11 @@ class TpchTables:
         """A source table as an operational database would give it: no audit column."""
         given = COLUMNS[table]
         columns = [
-            F.expr(given.get(name, "null")).cast(kind).alias(name)
+            f"cast({given.get(name, 'null')} as {kind}) as {name}"
             for name, kind in spec_of(f"bronze.{table}").columns
             if name != SYNC_STAMP
         ]
-        return self._source_rows(table).select(*columns)
+        return self._source_rows(table).selectExpr(*columns)
 
     def bronze(self, table: str) -> DataFrame:
         """The bronze table the ingest would store."""

@@ -42,6 +42,11 @@ REVENUE_COLOURS = ((0, 1_500_000, "88BFE0"), (1_500_001, 3_000_000, "FCED9F"), (
 REVENUE_COLOUR_REST = "CACFD3"
 
 
+def instant(at: dt.datetime) -> Column:
+    """A fixed time. Without an offset of its own it is wall-clock time in the session's zone, not the driver's."""
+    return F.lit(at.isoformat(" ")).cast("timestamp")
+
+
 def day_part(moment: Column) -> Column:
     hour = F.hour(moment)
     return first_match(((hour.between(first, last), name) for first, last, name in DAY_PARTS), NIGHT)

@@ -58,7 +58,7 @@ def dim_tiempo(days: DataFrame) -> DataFrame:
 
 
 def _dimension(df: DataFrame, table: str, renames: dict[str, str], run_ts: dt.datetime) -> DataFrame:
-    stamped = df.withColumnsRenamed(renames).withColumn("fecha_actualizacion", F.lit(run_ts))
+    stamped = df.withColumnsRenamed(renames).withColumn("fecha_actualizacion", rules.instant(run_ts))
     return declared(stamped, f"gold.{table}")
 
 
@@ -102,9 +102,8 @@ def fact_ventas(ventas: DataFrame, per_sale: DataFrame, run_ts: dt.datetime) ->
     """
     measured = ventas.withColumnsRenamed(KEYS).join(per_sale, "venta_id", "left")
     per_item = F.col("total") / F.col("num_items_distintos")
-    return declared(
-        measured.withColumns({"ticket_promedio_item": per_item, "fecha_carga": F.lit(run_ts)}), "gold.fact_ventas"
-    )
+    computed = {"ticket_promedio_item": per_item, "fecha_carga": rules.instant(run_ts)}
+    return declared(measured.withColumns(computed), "gold.fact_ventas")
 
 
 def kpis_diarios(sales: DataFrame) -> DataFrame:
@@ -172,7 +171,7 @@ def fact_inventario(
         "valor_venta_potencial": F.col("cantidad") * F.col("precio"),
         "requiere_accion": rules.needs_action(F.col("estado_caducidad"), F.col("alerta_stock")),
         "fecha_key": F.lit(as_of),
-        "fecha_carga": F.lit(run_ts),
+        "fecha_carga": rules.instant(run_ts),
     }
     keyed = lots.withColumnsRenamed({**KEYS, "producto_id": "producto_key"})
     return declared(keyed.withColumns(computed), "gold.fact_inventario")
@@ -205,6 +204,6 @@ def alertas_inventario(stock: DataFrame, run_ts: dt.datetime) -> DataFrame:
     advice = {
         "prioridad": rules.priority(state, alert),
         "accion_recomendada": rules.recommended_action(F.col("dias_hasta_caducidad"), alert),
-        "fecha_alerta": F.lit(run_ts),
+        "fecha_alerta": rules.instant(run_ts),
     }
     return declared(stock.filter("requiere_accion").withColumns(advice), "gold.fact_alertas_inventario")

@@ -15,6 +15,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
+from bodega.functions.rules import instant
 from bodega.operators import layout
 from bodega.operators.upsert import merged, require_unambiguous
 from bodega.schemas import SYNC_STAMP, TABLES, TRANSFORM_STAMP, TableSpec, conform, spec_of
@@ -29,7 +30,7 @@ def stamped(df: DataFrame, layer: str, run_ts: dt.datetime | None) -> DataFrame:
     """``df`` with the audit column of the layer, replacing one that came with the source."""
     if layer not in STAMPS:
         return df
-    return df.withColumn(STAMPS[layer], F.current_timestamp() if run_ts is None else F.lit(run_ts))
+    return df.withColumn(STAMPS[layer], F.current_timestamp() if run_ts is None else instant(run_ts))
 
 
 def _one_of(column: str, values: set) -> Column:

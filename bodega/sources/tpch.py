@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from bodega.functions.rules import instant
 from bodega.schemas import SYNC_STAMP, spec_of
 
 # The "today" and the load time that go with this data.
@@ -170,4 +171,4 @@ class TpchTables:
 
     def bronze(self, table: str) -> DataFrame:
         """The bronze table the ingest would store."""
-        return self.source(table).withColumn(SYNC_STAMP, F.lit(RUN_TS))
+        return self.source(table).withColumn(SYNC_STAMP, instant(RUN_TS))

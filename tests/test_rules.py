@@ -131,3 +131,15 @@ def test_revenue_colour_has_gaps_between_bands(evaluate):
 def test_null_condition_does_not_match(evaluate):
     rule = lambda x: first_match([(x > 1, "big"), (x.isNull(), "none")], "small")
     assert evaluate(rule, "x int", [(2,), (None,), (0,)]) == ["big", "none", "small"]
+
+
+def test_instant_is_wall_clock_time_of_the_session(spark):
+    noon = dt.datetime(2001, 8, 2, 12)
+    spark.conf.set("spark.sql.session.timeZone", "America/Bogota")
+    try:
+        row = spark.range(1).select(
+            F.hour(rules.instant(noon)), F.hour(rules.instant(noon.replace(tzinfo=dt.timezone.utc)))
+        )
+        assert tuple(row.first()) == (12, 7)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -206,6 +206,31 @@ def test_compaction_of_a_partitioned_table(new_warehouse, stock):
     assert quantities(warehouse) == before and files(warehouse, STOCK) == 3
 
 
+def test_a_partition_that_holds_everything_is_written_by_several_tasks(new_warehouse, spark):
+    ids = spark.range(0, 40_000, 1, 8)
+    lots = ids.select(
+        F.col("id").alias("inventario_id"),
+        F.hash("id").alias("producto_id"),
+        F.when(F.col("id") % 100 == 0, F.col("id") % 7).otherwise(3).alias("sucursal_id"),
+        F.lit(1).alias("cantidad"),
+        F.current_timestamp().alias("fecha_actualizacion"),
+        F.lit(None).alias("fecha_caducidad"),
+        F.lit(999).alias("dias_hasta_caducidad"),
+        F.lit("Optimo").alias("estado_caducidad"),
+        F.lit("Stock OK").alias("alerta_stock"),
+    )
+    warehouse = new_warehouse()
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    try:
+        assert warehouse.overwrite(STOCK, lots) == 40_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    hot = spark.table(warehouse.name(STOCK)).filter("sucursal_id = 3").groupBy("_metadata.file_path").count()
+    assert hot.count() >= 4 and hot.agg(F.max("count")).first()[0] < 20_000
+    small = spark.table(warehouse.name(STOCK)).filter("sucursal_id = 5")
+    assert small.select("_metadata.file_path").distinct().count() == 1
+
+
 def test_measured_size_does_not_outlive_the_files(new_warehouse, spark, stock):
     """A size kept from smaller files could make Spark broadcast a large table."""
 

@@ -218,8 +218,13 @@ def dim_sucursales(t: TpchTables) -> DataFrame:
     return _stored(gold.dim_sucursales(t.bronze("sucursales"), RUN_TS), "dim_sucursales")
 
 
+def _products(t: TpchTables) -> DataFrame:
+    """Clean products as a written table, which is what the lookups of gold expect."""
+    return materialise(silver_productos(t), "productos")
+
+
 def _lines(t: TpchTables) -> DataFrame:
-    return gold.lines_with_margin(silver_detalle(t), silver_productos(t))
+    return gold.lines_with_margin(silver_detalle(t), _products(t))
 
 
 def _sales(t: TpchTables) -> DataFrame:
@@ -227,7 +232,7 @@ def _sales(t: TpchTables) -> DataFrame:
 
 
 def _stock(t: TpchTables) -> DataFrame:
-    return gold.fact_inventario(silver_inventario(t), silver_productos(t), AS_OF, RUN_TS)
+    return gold.fact_inventario(silver_inventario(t), _products(t), AS_OF, RUN_TS)
 
 
 @registered

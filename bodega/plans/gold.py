@@ -81,7 +81,11 @@ def dim_sucursales(sucursales: DataFrame, run_ts: dt.datetime) -> DataFrame:
 
 
 def lines_with_margin(lines: DataFrame, productos: DataFrame) -> DataFrame:
-    """Sale lines with their margin amount; an unknown product gives a NULL margin."""
+    """Sale lines with their margin amount; an unknown product gives a NULL margin.
+
+    ``productos`` should be a stored table. AQE cuts up a hot product only when both sides of the join come
+    straight from their shuffles, and a dedup still in the plan would lend its partitioning to the join instead.
+    """
     priced = lines.join(productos.select("producto_id", "margen"), "producto_id", "left")
     return priced.withColumn("margen_item", rules.percent_of(F.col("subtotal"), F.col("margen")))
 
@@ -164,7 +168,10 @@ def rendimiento_productos(lines: DataFrame, productos: DataFrame) -> DataFrame:
 def fact_inventario(
     inventario: DataFrame, productos: DataFrame, as_of: dt.date, run_ts: dt.datetime
 ) -> DataFrame:
-    """One row per stock lot, valued at cost and at sale price; NULL values for an unknown product."""
+    """One row per stock lot, valued at cost and at sale price; NULL values for an unknown product.
+
+    ``productos`` should be a stored table, as for ``lines_with_margin``.
+    """
     lots = inventario.join(productos.select("producto_id", "precio", "costo"), "producto_id", "left")
     computed = {
         "valor_inventario": F.col("cantidad") * F.col("costo"),

@@ -71,6 +71,16 @@ def test_hot_id_sends_one_row_per_task_through_the_shuffle(spark):
     assert df.count() == 10_001
 
 
+@pytest.mark.parametrize("query", [registry.detalle_enriquecido, registry.fact_inventario])
+def test_product_lookup_comes_straight_from_two_shuffles(spark, no_broadcast, query):
+    """The shape AQE needs to cut up a hot product."""
+    join = plan_of(query(TpchTables(spark, SMALL))).split("== Physical Plan ==")[1].split("SortMergeJoin [producto_")[1]
+    sides = re.split(r"\n +\+- Sort|\n +:- Sort", join)[1:3]
+    for side in sides:
+        below = side.split("\n")[1]
+        assert "Exchange hashpartitioning(producto_" in below, below
+
+
 def test_sales_join_needs_no_second_shuffle_of_either_side(bronze_files, no_broadcast):
     sales = silver.ventas(bronze_files["ventas"])
     lines = silver.detalle_ventas(bronze_files["detalle_ventas"])

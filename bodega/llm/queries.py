@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from bodega.llm import packing, training_order, warc
+from bodega.llm import packing, substrings, suffixes, training_order, warc
 from bodega.llm.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,13 +25,30 @@ def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"))
 
 
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = substrings.remove_repeats(_table(spark, folder, "documents"))
+    return rows.select("others.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = suffixes.remove_repeats(_table(spark, folder, "documents"))
+    return rows.select("others.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     parts = warc.write(_table(spark, folder, "pages"), scratch_path(spark, "warc"))
     return warc.read(parts).drop("html", "url")
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op6_training_order, op7_best_fit_packing, op10_warc)}
+    found = (
+        op5_substring_dedup,
+        op6_training_order,
+        op7_best_fit_packing,
+        op8_suffix_dedup,
+        op10_warc,
+    )
+    return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bodega.llm import packing, substrings, suffixes, training_order, warc
+from bodega.llm import jaccard, packing, substrings, suffixes, training_order, warc
 from bodega.llm.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"))
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.classes(_table(spark, folder, "documents"))
+
+
 def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     rows = substrings.remove_repeats(_table(spark, folder, "documents"))
     return rows.select("others.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -42,6 +46,7 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = (
+        op2_ngram_jaccard_join,
         op5_substring_dedup,
         op6_training_order,
         op7_best_fit_packing,

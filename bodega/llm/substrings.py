@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from bodega.llm.arrays import BYTE_VALUES, column, slices, span_hashes, words
+from bodega.llm.shared import expanded
 from bodega.llm.windows import Words, covered, repeated_spans, spans
 
 WINDOW = 35
@@ -21,7 +22,7 @@ GRAM = 8
 
 
 def _bucket(size: int):
-    def solve(texts, keys, places, counts) -> Iterator[tuple[int, np.ndarray]]:
+    def solve(texts, keys, places) -> Iterator[tuple[int, np.ndarray]]:
         """The windows of ``size`` words that two or more of ``texts`` have, as spans of window numbers."""
         blob = b" ".join(texts)
         data = np.frombuffer(blob, np.uint8)
@@ -61,7 +62,7 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, gram: int = GRAM) -> Dat
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, bounds in slices(batches, "text"):
+        for rows, data, bounds in slices(expanded(batches, "text"), "text"):
             starts, ends, first = words(data, bounds)
             marks, number = column(rows, "marks"), np.diff(first)
             removed, kept = [], []

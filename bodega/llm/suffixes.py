@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from bodega.llm.arrays import column, slices
+from bodega.llm.shared import expanded
 from bodega.llm.windows import Bytes, covered, repeated_spans, spans
 
 LENGTH = 400
@@ -28,7 +29,7 @@ _NONE = 255  # never a byte of UTF-8
 
 
 def _bucket(size: int):
-    def solve(texts, keys, places, counts) -> Iterator[tuple[int, np.ndarray]]:
+    def solve(texts, keys, places) -> Iterator[tuple[int, np.ndarray]]:
         """The strings of ``size`` bytes that two or more of ``texts`` have in one column, as spans of first bytes."""
         number = len(texts)
         before = places.max()
@@ -71,7 +72,7 @@ def remove_repeats(docs: DataFrame, size: int = LENGTH, gram: int = GRAM) -> Dat
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, bounds in slices(batches, "text"):
+        for rows, data, bounds in slices(expanded(batches, "text"), "text"):
             marks = column(rows, "marks")
             removed, runs, kept = [], [], []
             for k in range(rows.num_rows):

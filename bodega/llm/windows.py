@@ -5,9 +5,9 @@ whose hash is smallest (the leftmost of equals); equal windows have equal minimi
 with the same minimiser form a run, and travel as one packed string to the bucket of that minimiser.
 
 Only minimisers that occur twice can have equal windows, so runs are counted first (a hash each), and only the
-runs of repeated minimisers are cut out of the texts. Equal strings are counted before they travel, so a group of
-copies, however large, is one row for each task. A minimiser that more runs have than ``HOT`` is divided by a second
-one under another hash: equal windows agree on both. Buckets see distinct strings with counts and say which windows of
+runs of repeated minimisers are cut out of the texts. A task sends equal strings once, so a group of copies,
+however large, is one row for each task. A minimiser that more runs have than ``HOT`` is divided by a second
+one under another hash: equal windows agree on both. Buckets see distinct strings and say which windows of
 which string occur again; the runs look that up by the string's 128-bit digest.
 """
 
@@ -22,12 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bodega.llm.arrays import BYTE_VALUES, U64, binary, column, gram_hashes, mixed, ranges, slices, span_hashes, words
-from bodega.llm.shared import bytes_of, store, task_count
+from bodega.llm.shared import bytes_of, discard, expanded, squeezed, store, task_count
 
 HOT = 256
 BUCKET_BYTES = 16 << 20
 CHUNK_BYTES = 2 << 20
 _BLOCK = 1 << 18
+_SEEN = 1 << 18
 _PLACE_BITS = U64(24)
 _SECOND = U64(0xA5A5B4C3D2E1F00F)
 NO_ID = -(1 << 63)
@@ -149,7 +150,8 @@ def _cut(units: Units, keyed: DataFrame, wanted: DataFrame) -> DataFrame:
     """The packed strings of the wanted runs, hot ones divided by their second minimiser."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, bounds in slices(batches, "text"):
+        seen: set[bytes] = set()
+        for rows, data, bounds in slices(expanded(batches, "text"), "text"):
             starts, ends, first_unit = units.bounds(data, bounds)
             lists = column(rows, "runs")
             of = np.repeat(np.arange(rows.num_rows), np.diff(lists.offsets.to_numpy()))
@@ -166,6 +168,13 @@ def _cut(units: Units, keyed: DataFrame, wanted: DataFrame) -> DataFrame:
                 units.packed(data, starts, ends, int(f), int(n))
                 for f, n in zip(first + first_unit[of], windows + units.size - 1, strict=True)
             ]
+            digests = [hashlib.blake2b(s, digest_size=16).digest() for s in strings]
+            if len(seen) > _SEEN:
+                seen.clear()
+            for k, digest in enumerate(digests):  # a task sends a string once, and its digest every time
+                if digest in seen:
+                    strings[k] = None
+                seen.add(digest)
             yield pa.record_batch(
                 {
                     "k1": column(rows, "k1").take(pa.array(of)),
@@ -174,14 +183,14 @@ def _cut(units: Units, keyed: DataFrame, wanted: DataFrame) -> DataFrame:
                     "size": pa.array(windows + units.size - 1, pa.int32()),
                     "minimiser": pa.array(key.view(np.int64)),
                     "place": pa.array(place - first, pa.int32()),
-                    "digest": binary([hashlib.blake2b(s, digest_size=16).digest() for s in strings]),
+                    "digest": binary(digests),
                     "string": binary(strings),
                 }
             )
 
     parts = ("minimiser", "first", "windows", "place", "hot")
     listed = wanted.groupBy("k1", "k2").agg(F.collect_set(F.struct(*parts)).alias("runs"))
-    texts = keyed.select("k1", "k2", "text").join(listed, ["k1", "k2"])
+    texts = squeezed(keyed.select("k1", "k2", "text"), "text").join(listed, ["k1", "k2"])
     schema = "k1 long, k2 long, first int, size int, minimiser long, place int, digest binary, string binary"
     return texts.mapInArrow(cut, schema)
 
@@ -210,7 +219,7 @@ def _divide(units, data, starts, ends, first_unit, of, key, first, windows, plac
     )
 
 
-Bucket = Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray], Iterator[tuple[int, np.ndarray]]]
+Bucket = Callable[[list[bytes], np.ndarray, np.ndarray], Iterator[tuple[int, np.ndarray]]]
 
 
 def _in_buckets(strings: DataFrame, bucket: Bucket) -> DataFrame:
@@ -238,7 +247,7 @@ def _in_buckets(strings: DataFrame, bucket: Bucket) -> DataFrame:
 
     def solve(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches([h for h in held if h.num_rows]).combine_chunks()
-        keys, places, counts = (table.column(n).to_numpy() for n in ("minimiser", "place", "n"))
+        keys, places = (table.column(n).to_numpy() for n in ("minimiser", "place"))
         digests, texts = table.column("digest").to_pylist(), table.column("string").to_pylist()
         _, key_number, sizes = np.unique(keys, return_inverse=True, return_counts=True)
         found = []
@@ -246,7 +255,7 @@ def _in_buckets(strings: DataFrame, bucket: Bucket) -> DataFrame:
         order = np.argsort(key_number, kind="stable")
         several = order[~alone[order]]
         if len(several):
-            for k, repeated in bucket([texts[i] for i in several], key_number[several], places[several], counts[several]):
+            for k, repeated in bucket([texts[i] for i in several], key_number[several], places[several]):
                 found.append((digests[several[k]], repeated.astype("<i4").tobytes()))
         return pa.record_batch([binary([d for d, _ in found]), binary([r for _, r in found])], names=["digest", "repeated"])
 
@@ -260,7 +269,7 @@ def spans(bool_rows: np.ndarray) -> np.ndarray:
 
 
 def repeated_spans(units: Units, docs: DataFrame, bucket: Bucket, label: str) -> DataFrame:
-    """Each row of ``docs`` as (others: its columns but the text, text, marks: where windows occur again).
+    """Each row of ``docs`` as (others: its columns but the text, the squeezed text, marks: where windows occur again).
 
     A mark has the first unit and size of a string, and the spans of its windows that occur again (null: all).
     """
@@ -270,8 +279,10 @@ def repeated_spans(units: Units, docs: DataFrame, bucket: Bucket, label: str) ->
     counted = found.groupBy("minimiser").agg(F.count("*").alias("n")).filter("n > 1")
     wanted = found.join(counted.select("minimiser", (F.col("n") > HOT).alias("hot")), "minimiser")
     cut = store(_cut(units, keyed, wanted), f"{label}_strings")
+    discard(found)
     volume = bytes_of(cut, "string")
-    strings = cut.groupBy("minimiser", "digest", "place", "string").agg(F.count("*").alias("n"))
+    strings = cut.filter("string IS NOT NULL").dropDuplicates(["minimiser", "digest", "place", "string"])
+    strings = strings.select("minimiser", "digest", "place", "string")
     dealt = strings.repartition(task_count(spark, volume, BUCKET_BYTES), "minimiser").sortWithinPartitions("minimiser")
     flags = store(_in_buckets(dealt, bucket), f"{label}_flags")
     copied = cut.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest", F.lit(True).alias("whole"))
@@ -280,7 +291,7 @@ def repeated_spans(units: Units, docs: DataFrame, bucket: Bucket, label: str) ->
     )
     located = cut.select("k1", "k2", "first", "size", "digest").join(marks, "digest")
     listed = located.groupBy("k1", "k2").agg(F.collect_set(F.struct("first", "size", "repeated")).alias("marks"))
-    return keyed.join(listed, ["k1", "k2"], "left").select("others", "text", "marks")
+    return squeezed(keyed, "text").join(listed, ["k1", "k2"], "left").select("others", "text", "marks")
 
 
 def covered(marks: pa.ListArray, row: int, size: int, n: int) -> np.ndarray:

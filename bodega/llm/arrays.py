@@ -17,6 +17,7 @@ WHITE = np.zeros(256, bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+NO_LETTER = np.array([not (b >= 128 or chr(b).isalnum()) for b in range(256)])
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -82,9 +83,12 @@ def slices(
             begin = end
 
 
-def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words ``[^\\x20\\x09-\\x0D]+``, and the number of words before each text's end."""
-    inside = ~WHITE[data]
+def words(data: np.ndarray, bounds: np.ndarray, between: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words ``[^\\x20\\x09-\\x0D]+``, and the number of words before each text's end.
+
+    ``between`` marks the bytes that part words.
+    """
+    inside = ~between[data]
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(bounds), np.int64)
     begin, last = inside.copy(), inside.copy()

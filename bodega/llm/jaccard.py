@@ -72,6 +72,16 @@ def _short(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "little", signed=True)
 
 
+def _packed(shingles: np.ndarray) -> bytes:
+    """The leading 48 bits of every hash: within one pair of sets that tells shingles apart."""
+    return shingles.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _opened(packed: bytes) -> np.ndarray:
+    rows = np.frombuffer(packed, np.uint8).reshape(-1, 6)
+    return np.pad(rows, ((0, 0), (2, 0))).reshape(-1).view(">u8")
+
+
 def _sets(docs: DataFrame, size: int) -> DataFrame:
     """(doc_id, n_shingles, f, digest) for every row; ``f`` is the start of the digest."""
 
@@ -225,12 +235,12 @@ def _involved(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
                 {
                     "f": pa.array([_short(_digest(s)) for s in sets], pa.int64()),
                     "node": column(rows, "doc_id"),
-                    "shingles": binary([s.tobytes() for s in sets]),
+                    "shingles": binary([_packed(s) for s in sets]),
                 }
             )
 
     chosen = squeezed(docs, "text").join(ids, "doc_id", "left_semi")
-    return chosen.mapInArrow(packed, "f long, node long, shingles binary").dropDuplicates(["f", "node"])
+    return chosen.mapInArrow(packed, "f long, node long, shingles binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -241,7 +251,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = []
             one, two = column(batch, "one"), column(batch, "two")
             for k in range(batch.num_rows):
-                s, t = np.frombuffer(one[k].as_buffer(), U64), np.frombuffer(two[k].as_buffer(), U64)
+                s, t = _opened(one[k].as_buffer()), _opened(two[k].as_buffer())
                 common = len(s) + len(t) - len(np.union1d(s, t))
                 keep.append(100 * common >= percent * (len(s) + len(t) - common))
             kept = batch.filter(pa.array(keep, pa.bool_()))

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bodega.llm import jaccard, packing, substrings, suffixes, training_order, warc
+from bodega.llm import (
+    decontaminate,
+    embeddings,
+    jaccard,
+    language,
+    packing,
+    substrings,
+    suffixes,
+    toxicity,
+    training_order,
+    warc,
+)
 from bodega.llm.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,10 +36,26 @@ def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"))
 
 
+def op1_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, folder, "embeddings"))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.classes(_table(spark, folder, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return toxicity.scored(docs, toxicity.fit(docs, _table(spark, folder, "labels")))
+
+
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    rows = language.identified(docs.select("doc_id", "text"), language.fit(docs))
+    held = language.held_out(F.col("others.doc_id")).alias("held_out")
+    return rows.select("others.doc_id", held, "lang_pred", "score")
+
+
 def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     rows = substrings.remove_repeats(_table(spark, folder, "documents"))
     return rows.select("others.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -39,6 +66,18 @@ def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("others.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    rows = decontaminate.marked(docs, _table(spark, folder, "benchmark"))
+    return rows.select(
+        "others.doc_id",
+        (F.size("leaks") > 0).alias("contaminated"),
+        F.size("leaks").cast("long").alias("n_items"),
+        F.col("leaks.item_id").alias("item_ids"),
+        F.array_max("leaks.matches").alias("matches"),
+    )
+
+
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     parts = warc.write(_table(spark, folder, "pages"), scratch_path(spark, "warc"))
     return warc.read(parts).drop("html", "url")
@@ -46,11 +85,15 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = (
+        op1_embedding_near_dedup,
         op2_ngram_jaccard_join,
+        op3_toxicity,
+        op4_language_id,
         op5_substring_dedup,
         op6_training_order,
         op7_best_fit_packing,
         op8_suffix_dedup,
+        op9_benchmark_decontamination,
         op10_warc,
     )
     return {query.__name__: query for query in found}

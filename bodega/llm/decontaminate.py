@@ -11,10 +11,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bodega.llm.arrays import BYTE_VALUES, LOWER, NO_LETTER, U64, column, mixed, slices, span_hashes, words
+from bodega.llm.arrays import BYTE_VALUES, NO_LETTER, U64, column, mixed, slices, span_hashes, words
 
 MASKS = ("1101011011", "11100101101", "1011010111", "11011")
 MATCHES = 12
@@ -25,7 +26,6 @@ _LEAK = "array<struct<item_id: long, matches: int, first_word: int, words: int>>
 
 
 def _hashed(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    data = LOWER[data]
     starts, ends, first = words(data, bounds, NO_LETTER)
     return span_hashes(BYTE_VALUES[data], starts, ends), first
 
@@ -47,7 +47,7 @@ class Benchmark:
         self.ids, self.hashes = ids, []
         found, item, place = [], [], []
         for number, text in enumerate(texts):
-            data = np.frombuffer((text or "").encode(), np.uint8)
+            data = np.frombuffer(pc.utf8_lower(pa.scalar(text or "")).as_py().encode(), np.uint8)
             hashes, _ = _hashed(data, np.array([0, len(data)]))
             self.hashes.append(hashes)
             for k, mask in enumerate(MASKS):
@@ -136,7 +136,7 @@ def _search(shared, matches: int, share: float):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         benchmark = Benchmark(*shared.value)
         for batch in batches:
-            texts = column(batch, "others").field("text").cast(pa.string())
+            texts = pc.utf8_lower(column(batch, "others").field("text").cast(pa.string()))
             work = pa.RecordBatch.from_arrays([*batch.columns, texts], names=["others", "leaks", "_text"])
             for rows, data, bounds in slices([work], "_text"):
                 hashes, first = _hashed(data, bounds)

@@ -199,7 +199,7 @@ def fit(docs: DataFrame, labels: DataFrame, at_most: int = TRAIN_ROWS) -> Gramma
     chosen = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").filter(~held_out(F.col("doc_id")))
     chosen = chosen.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(at_most)
-    texts = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    texts = docs.select(F.col("doc_id").cast("long"), F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text"))
     labelled = texts.join(F.broadcast(chosen), "doc_id")  # at most at_most rows of two numbers
     grammar = Grammar(_terms(labelled))
     if not (grammar.whole or any(grammar.stems)):
@@ -232,5 +232,5 @@ def scored(docs: DataFrame, grammar: Grammar) -> DataFrame:
             )
 
     fields = [docs.schema["doc_id"], T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType())]
-    rows = docs.select("doc_id", kept, F.col("text").cast("string"))
+    rows = docs.select("doc_id", kept, F.lower(F.col("text").cast("string")).alias("text"))
     return rows.mapInArrow(score, T.StructType([*fields, T.StructField("predicted", T.IntegerType())]))

@@ -41,7 +41,7 @@ PERCENT = 75
 MOST_MATCHES = 8
 SKETCH = 1 << 22
 HOT = 1 << 16
-POSTINGS = 1 << 20
+POSTINGS = 1 << 18
 NO_ID = -(1 << 63)
 _BLOCKS = 64
 _VERIFY_COST = 16
@@ -280,34 +280,31 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
     distinct = store(distinct, "distinct_sets")
     buckets = task_count(docs.sparkSession, bytes_of(rows, "text") // 16, POSTINGS)
     postings = store(_postings(rows, size, percent, _sketch(rows, size), buckets), "postings")
-    nodes = postings.select("f").distinct().join(distinct.select("f", "node"), "f")
-    sets = store(_involved(rows, nodes.select(F.col("node").alias("doc_id")).distinct(), size), "involved_sets")
+    nodes = distinct.select("f", "node")
     copies = filled.join(distinct, ["f", "digest"]).filter("doc_id != node")
     links = store(copies.select(F.col("doc_id").alias("a"), F.col("node").alias("b")).distinct(), "copies")
 
     # Near copies of one document meet at a hub: the one pair per set that shares most postings.
-    hubs = postings.groupBy("t").agg(F.min(F.struct(F.xxhash64("f"), "f", "n")).alias("hub")).select("t", "hub.f", "hub.n")
-    hubs = hubs.withColumnsRenamed({"f": "g", "n": "m"})
-    near = postings.join(hubs, "t").filter((F.col("f") != F.col("g")) & _sizes(percent))
-    votes = near.groupBy("f", "g").agg(F.count("*").alias("votes"))
-    first = votes.groupBy("f").agg(F.max(F.struct("votes", "g")).alias("best")).select("f", F.col("best.g").alias("g"))
-    starred = store(_verified(first, sets, percent), "hub_links")
+    hub = F.min(F.struct(F.xxhash64("f").alias("h"), *"fnvl")).alias("hub")
+    hubs = postings.groupBy("t").agg(hub).select("t", *[F.col(f"hub.{k}").alias(o) for k, o in zip("fnvl", "gmwk", strict=True)])
+    near = postings.join(hubs, "t").filter((F.col("f") != F.col("g")) & _fit(percent))
+    votes = near.groupBy("f", "g").agg(F.count("*").alias("votes"), F.least(F.min("l"), F.min("k")).alias("asked"))
+    best = votes.filter("votes >= asked").groupBy("f").agg(F.max(F.struct("votes", "g")).alias("best"))
+    starred = _linked(rows, nodes, store(best.select("f", F.col("best.g").alias("g")), "hub_pairs"), size, percent)
     parts = store(components(starred), "hub_components")
 
+    # What is left are pairs of different components.
     placed = nodes.join(parts, "node", "left").select("f", F.coalesce("component", "node").alias("c"))
-    listed = postings.join(placed, "f").distinct()
-    mixed_ones = listed.groupBy("t").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low != high").select("t")
-    open_rows = store(listed.join(mixed_ones, "t"), "open_postings")
+    listed = store(postings.join(placed, "f"), "placed_postings")
     discard(postings)
-    others = open_rows.select("t", *[F.col(k).alias(o) for k, o in zip("fnvlc", "gmwkd", strict=True)])
-    matched = open_rows.join(others, "t").filter(
-        (F.col("f") < F.col("g")) & (F.col("c") != F.col("d")) & _sizes(percent)
-        & (F.greatest("v", "w") <= F.least("l", "k"))
-    )
+    several = listed.groupBy("t").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low != high").select("t")
+    ones = listed.join(several, "t")
+    others = ones.select("t", *[F.col(k).alias(o) for k, o in zip("fnvlc", "gmwkd", strict=True)])
+    matched = ones.join(others, "t").filter((F.col("f") < F.col("g")) & (F.col("c") != F.col("d")) & _fit(percent))
     matched = matched.groupBy("f", "g").agg(F.count("*").alias("matches"), F.least(F.min("l"), F.min("k")).alias("asked"))
-    pairs = matched.filter("matches >= asked").select("f", "g")
-    rest = store(_verified(pairs, sets, percent), "links")
-    discard(open_rows, sets)
+    pairs = store(matched.filter("matches >= asked").select("f", "g"), "pairs")
+    discard(listed)
+    rest = _linked(rows, nodes, pairs, size, percent)
 
     whole = components(links.union(starred).union(rest))
     lowest = whole.filter(F.col("node") != NO_ID).groupBy("component").agg(F.min("node").alias("least"))
@@ -317,6 +314,16 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
     return result.select(shown.alias("doc_id"), "n_shingles", F.coalesce("least", shown).alias("component_id"))
 
 
-def _sizes(percent: int):
-    """Whether sets of ``n`` and ``m`` shingles can be similar enough at all."""
-    return (100 * F.least("n", "m")) >= (percent * F.greatest("n", "m"))
+def _fit(percent: int):
+    """Whether two sets can be similar enough by size, and their match is within both prefixes."""
+    sizes = (100 * F.least("n", "m")) >= (percent * F.greatest("n", "m"))
+    return sizes & (F.greatest("v", "w") <= F.least("l", "k"))
+
+
+def _linked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The verified ones of ``pairs`` as links of nodes; only texts in a pair are read again."""
+    ids = pairs.select("f").union(pairs.select("g")).distinct().join(nodes, "f").select(F.col("node").alias("doc_id"))
+    sets = store(_involved(docs, ids.distinct(), size), "involved_sets")
+    links = store(_verified(pairs, sets, percent), "verified")
+    discard(sets, pairs)
+    return links

@@ -7,8 +7,8 @@ cost, and a pair is held to the smaller of its two.
 
 The order comes from a count sketch of fixed size, so that it weighs the same whatever the corpus has; it only
 decides how much work there is, never what links. Shingles of one prefix only go in their buckets. Of the rest,
-every document is first compared with the busiest hub of its postings, which joins large groups of near copies with one
-pair per document; then all pairs that still lie in different components and match often enough are verified.
+every document is first compared with a hub among its postings, which joins large groups of near copies with one pair
+per document; then all pairs that still lie in different components and match often enough are verified.
 """
 
 from __future__ import annotations
@@ -41,12 +41,13 @@ PERCENT = 75
 MOST_MATCHES = 8
 SKETCH = 1 << 22
 HOT = 1 << 16
+HUB_ROUNDS = 2
 POSTINGS = 1 << 18
 NO_ID = -(1 << 63)
 _BLOCKS = 64
 _VERIFY_COST = 16
 _SEEN = 1 << 18
-_POSTING = np.dtype([("t", "<u8"), ("f", "<i8"), ("n", "<u4"), ("v", "u1"), ("l", "u1"), ("hot", "u1")])
+_POSTING = np.dtype([("t", "<u8"), ("f", "<i8"), ("n", "<u4"), ("v", "u1"), ("l", "u1"), ("hot", "u1"), ("p", "u1")])
 
 
 def shingle_sets(data: np.ndarray, bounds: np.ndarray, size: int) -> list[np.ndarray]:
@@ -155,7 +156,7 @@ def prefix(shingles: np.ndarray, sketch: np.ndarray, percent: int) -> tuple[np.n
 
 
 def _postings(docs: DataFrame, size: int, percent: int, sketch: np.ndarray, buckets: int) -> DataFrame:
-    """(t, f, n, v, l) of the prefix shingles that two or more sets have."""
+    """(t, f, n, v, l, p) of the prefix shingles that two or more sets have; ``p`` grows with how common a prefix is."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,6 +173,7 @@ def _postings(docs: DataFrame, size: int, percent: int, sketch: np.ndarray, buck
                 rows = np.empty(len(tokens), _POSTING)
                 rows["t"], rows["f"], rows["n"] = tokens, _short(digest), len(shingles)
                 rows["v"], rows["l"], rows["hot"] = stands_for, matches, counts >= HOT
+                rows["p"] = min(255, int(12 * np.log2(1 + counts.mean())))
                 held.append(rows)
                 size_held += len(rows)
             if size_held >= POSTINGS:
@@ -218,11 +220,12 @@ def _postings(docs: DataFrame, size: int, percent: int, sketch: np.ndarray, buck
                 "n": pa.array(rows["n"].astype(np.int64)),
                 "v": pa.array(rows["v"].astype(np.int32)),
                 "l": pa.array(rows["l"].astype(np.int32)),
+                "p": pa.array(rows["p"].astype(np.int32)),
             }
         )
 
     dealt_rows = docs.mapInArrow(listed, "bucket int, rows binary").repartition(buckets, "bucket")
-    return dealt_rows.sortWithinPartitions("bucket").mapInArrow(shared_ones, "t long, f long, n long, v int, l int")
+    return dealt_rows.sortWithinPartitions("bucket").mapInArrow(shared_ones, "t long, f long, n long, v int, l int, p int")
 
 
 def _involved(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
@@ -284,26 +287,27 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
     copies = filled.join(distinct, ["f", "digest"]).filter("doc_id != node")
     links = store(copies.select(F.col("doc_id").alias("a"), F.col("node").alias("b")).distinct(), "copies")
 
-    # Near copies of one document meet at a hub: the one pair per set that shares most postings.
-    hub = F.min(F.struct(F.xxhash64("f").alias("h"), *"fnvl")).alias("hub")
-    hubs = postings.groupBy("t").agg(hub).select("t", *[F.col(f"hub.{k}").alias(o) for k, o in zip("fnvl", "gmwk", strict=True)])
-    near = postings.join(hubs, "t").filter((F.col("f") != F.col("g")) & _fit(percent))
-    votes = near.groupBy("f", "g").agg(F.count("*").alias("votes"), F.least(F.min("l"), F.min("k")).alias("asked"))
-    best = votes.filter("votes >= asked").groupBy("f").agg(F.max(F.struct("votes", "g")).alias("best"))
-    starred = _linked(rows, nodes, store(best.select("f", F.col("best.g").alias("g")), "hub_pairs"), size, percent)
-    parts = store(components(starred), "hub_components")
+    # Near copies of one document meet at a hub, the set with the most common prefix: it has what its copies share.
+    # A set is compared with the one hub that shares most postings, in a few rounds over what is still apart.
+    starred, placed = None, nodes.select("f", F.col("node").alias("c"))
+    for turn in range(HUB_ROUNDS):
+        hubs, ones = _hubs(postings, placed)
+        near = ones.join(hubs, "t").filter((F.col("f") != F.col("g")) & (F.col("c") != F.col("d")) & _fit(percent))
+        votes = near.groupBy("f", "g").agg(F.count("*").alias("votes"), F.least(F.min("l"), F.min("k")).alias("asked"))
+        best = votes.filter("votes >= asked").groupBy("f").agg(F.max(F.struct("votes", "g")).alias("best"))
+        best = store(best.select("f", F.col("best.g").alias("g")), "hub_pairs")
+        linked = _linked(rows, nodes, best, size, percent)
+        starred = linked if starred is None else starred.union(linked)
+        parts = store(components(starred), "hub_components")
+        placed = nodes.join(parts, "node", "left").select("f", F.coalesce("component", "node").alias("c"))
 
     # What is left are pairs of different components.
-    placed = nodes.join(parts, "node", "left").select("f", F.coalesce("component", "node").alias("c"))
-    listed = store(postings.join(placed, "f"), "placed_postings")
-    discard(postings)
-    several = listed.groupBy("t").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low != high").select("t")
-    ones = listed.join(several, "t")
+    _, ones = _hubs(postings, placed)
     others = ones.select("t", *[F.col(k).alias(o) for k, o in zip("fnvlc", "gmwkd", strict=True)])
     matched = ones.join(others, "t").filter((F.col("f") < F.col("g")) & (F.col("c") != F.col("d")) & _fit(percent))
     matched = matched.groupBy("f", "g").agg(F.count("*").alias("matches"), F.least(F.min("l"), F.min("k")).alias("asked"))
     pairs = store(matched.filter("matches >= asked").select("f", "g"), "pairs")
-    discard(listed)
+    discard(postings)
     rest = _linked(rows, nodes, pairs, size, percent)
 
     whole = components(links.union(starred).union(rest))
@@ -314,6 +318,15 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
     return result.select(shown.alias("doc_id"), "n_shingles", F.coalesce("least", shown).alias("component_id"))
 
 
+def _hubs(postings: DataFrame, placed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The hub of each shingle that sets of different components have, and the postings of those shingles."""
+    listed = store(postings.join(placed, "f"), "placed_postings")
+    hub = F.max(F.struct("p", F.xxhash64("f").alias("h"), *"fnvlc")).alias("hub")
+    hubs = listed.groupBy("t").agg(hub, F.min("c").alias("low"), F.max("c").alias("high")).filter("low != high")
+    hubs = hubs.select("t", *[F.col(f"hub.{k}").alias(o) for k, o in zip("fnvlc", "gmwkd", strict=True)])
+    return hubs, listed.join(hubs.select("t"), "t")
+
+
 def _fit(percent: int):
     """Whether two sets can be similar enough by size, and their match is within both prefixes."""
     sizes = (100 * F.least("n", "m")) >= (percent * F.greatest("n", "m"))

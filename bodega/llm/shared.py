@@ -19,6 +19,9 @@ from bodega.session import scratch_path
 
 __all__ = ["scratch_path"]
 
+ROWS_AT_ONCE = 1000
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def _swept(spark: SparkSession) -> None:
     """Let shuffle files of steps that are over go.
@@ -34,7 +37,12 @@ def store(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder, to cut its lineage; the files outlive a lost executor."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_BATCH_ROWS)
+    spark.conf.set(_BATCH_ROWS, ROWS_AT_ONCE)  # whole texts: fewer to a batch than numbers
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_BATCH_ROWS, before)
     _swept(spark)
     stored = spark.read.schema(df.schema).parquet(path)
     stored._stored_at = path

@@ -65,12 +65,9 @@ def _stored(df: DataFrame, table: str) -> DataFrame:
 
 
 def _scratch_warehouse(tables: TpchTables, label: str) -> Warehouse:
-    """A warehouse of its own in the shared folder, with database names no other run uses.
-
-    The daily KPIs have one row per day and branch, too few for a folder per day.
-    """
+    """A warehouse of its own in the shared folder, with database names no other run uses."""
     root = scratch_path(tables.spark, label)
-    return Warehouse(tables.spark, root, f"run_{root[-32:]}_", partitions={"gold.fact_kpis_diarios": ()})
+    return Warehouse(tables.spark, root, f"run_{root[-32:]}_")
 
 
 # --- reports straight over the tables ---
@@ -360,24 +357,6 @@ def upsert_kpis_diarios(t: TpchTables) -> DataFrame:
     return warehouse.read(table)
 
 
-@registered
-def layout_compact(t: TpchTables) -> DataFrame:
-    warehouse = _scratch_warehouse(t, "layout")
-    table = "silver.inventario_clean"
-    warehouse.overwrite(table, silver_inventario(t), RUN_TS)
-    warehouse.compact(table)
-    return warehouse.read(table).drop("_transform_timestamp")
-
-
-@registered
-def layout_zorder(t: TpchTables) -> DataFrame:
-    warehouse = _scratch_warehouse(t, "layout")
-    table = "silver.detalle_ventas_clean"
-    warehouse.overwrite(table, silver_detalle(t), RUN_TS)
-    warehouse.cluster(table)
-    return warehouse.read(table).drop("_transform_timestamp")
-
-
 @registered
 def publish_kpi_share(t: TpchTables) -> DataFrame:
     warehouse = _scratch_warehouse(t, "share")

@@ -35,17 +35,13 @@ def build_session(
     return builder.getOrCreate()
 
 
-# More reducers than this cost more in shuffle bookkeeping than they save in memory per task.
-MOST_SHUFFLE_PARTITIONS = 20_000
-
-
 def scale_settings(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Scan and shuffle settings for an input size: start wide, let AQE merge small partitions.
+    """Scan and shuffle settings for an input size: as many reducers as hold ``partition_bytes`` each.
 
-    AQE merges partitions but splits only skewed ones, so the starting number has to suit the largest
-    shuffle. Beyond ``MOST_SHUFFLE_PARTITIONS`` partitions grow instead: sorts and aggregates spill.
+    AQE merges partitions but splits only skewed ones, so the starting number has to suit the largest shuffle, at
+    every size alike; a larger ``partition_bytes`` gives fewer.
     """
-    reducers = min(MOST_SHUFFLE_PARTITIONS, max(200, -(-input_bytes // partition_bytes)))
+    reducers = max(1, -(-input_bytes // partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(reducers),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),

@@ -163,4 +163,4 @@ def test_shuffle_width_follows_the_input():
     def width(size):
         return int(scale_settings(size)["spark.sql.shuffle.partitions"])
 
-    assert (width(1 << 30), width(1 << 40), width(100 << 40)) == (200, 4096, 20_000)
+    assert (width(1 << 30), width(1 << 40), width(100 << 40)) == (4, 4096, 409_600)

@@ -34,7 +34,7 @@ from bodega.llm.arrays import (
     words,
 )
 from bodega.llm.components import components
-from bodega.llm.shared import bytes_of, discard, expanded, squeezed, store, task_count
+from bodega.llm.shared import bytes_of, discard, store, task_count
 
 SHINGLE = 5
 PERCENT = 75
@@ -232,7 +232,7 @@ def _involved(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     """(f, node, n, shingles) of the documents in ``ids``, their sets packed."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, bounds in slices(expanded(batches, "text"), "text"):
+        for rows, data, bounds in slices(batches, "text"):
             sets = shingle_sets(data, bounds, size)
             yield pa.record_batch(
                 {
@@ -242,7 +242,7 @@ def _involved(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
                 }
             )
 
-    chosen = squeezed(docs, "text").join(ids, "doc_id", "left_semi")
+    chosen = docs.join(ids, "doc_id", "left_semi")
     return chosen.mapInArrow(packed, "f long, node long, shingles binary")
 
 

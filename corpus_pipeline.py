@@ -59,7 +59,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("best_fit_packing", best_fit_packing),
 ]
 
-#: Models, hashes of positions and token ids are out of SQL's reach; the tests hold each stage against brute force.
+#: Models, hashes of positions and token ids are out of SQL's reach; tests hold the operators, not yet the whole run, against brute force.
 ORACLE_SQL = None
 
 

@@ -42,7 +42,8 @@ MOST_MATCHES = 8
 SKETCH = 1 << 22
 HOT = 1 << 16
 HUB_ROUNDS = 2
-POSTINGS = 1 << 18
+POSTINGS = 1 << 20
+HELD = 1 << 18
 NO_ID = -(1 << 63)
 _BLOCKS = 64
 _VERIFY_COST = 16
@@ -176,7 +177,7 @@ def _postings(docs: DataFrame, size: int, percent: int, sketch: np.ndarray, buck
                 rows["p"] = min(255, int(12 * np.log2(1 + counts.mean())))
                 held.append(rows)
                 size_held += len(rows)
-            if size_held >= POSTINGS:
+            if size_held >= HELD:
                 yield dealt(np.concatenate(held))
                 held, size_held = [], 0
         if held:

@@ -48,7 +48,7 @@ NO_ID = -(1 << 63)
 _BLOCKS = 64
 _VERIFY_COST = 16
 _SEEN = 1 << 18
-_POSTING = np.dtype([("t", "<u8"), ("f", "<i8"), ("n", "<u4"), ("v", "u1"), ("l", "u1"), ("hot", "u1"), ("p", "u1")])
+_POSTING = np.dtype([("t", "<u8"), ("f", "<i8"), ("n", "<u4"), ("r", "<u4"), ("l", "u1"), ("hot", "u1"), ("p", "u1")])
 
 
 def shingle_sets(data: np.ndarray, bounds: np.ndarray, size: int) -> list[np.ndarray]:
@@ -141,8 +141,8 @@ def _sketch(docs: DataFrame, size: int) -> np.ndarray:
     return whole
 
 
-def prefix(shingles: np.ndarray, sketch: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, int, np.ndarray]:
-    """The adaptive prefix: its shingles, the matches each stands for, the matches asked for, and estimated counts."""
+def prefix(shingles: np.ndarray, sketch: np.ndarray, percent: int) -> tuple[np.ndarray, int, np.ndarray]:
+    """The adaptive prefix: its shingles in order, the matches asked for, and estimated counts."""
     n = len(shingles)
     needed = -(-percent * n // 100)
     counts = sketch[(shingles & U64(SKETCH - 1)).astype(np.int64)]
@@ -152,12 +152,14 @@ def prefix(shingles: np.ndarray, sketch: np.ndarray, percent: int) -> tuple[np.n
     scanned = np.cumsum(counts[order].astype(np.float64))[length - 1]
     matches = int(np.argmin(scanned + _VERIFY_COST * scanned / np.arange(1, most + 1))) + 1
     kept = order[: n - needed + matches]
-    stands_for = np.maximum(1, np.arange(1, len(kept) + 1) - (n - needed))
-    return shingles[kept], stands_for, matches, counts[kept]
+    return shingles[kept], matches, counts[kept]
 
 
 def _postings(docs: DataFrame, size: int, percent: int, sketch: np.ndarray, buckets: int) -> DataFrame:
-    """(t, f, n, v, l, p) of the prefix shingles that two or more sets have; ``p`` grows with how common a prefix is."""
+    """(t, f, n, r, l, p) of the prefix shingles that two or more sets have.
+
+    ``r`` is the rank of the shingle in its set, ``l`` the matches asked for; ``p`` grows with how common a prefix is.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,10 +172,10 @@ def _postings(docs: DataFrame, size: int, percent: int, sketch: np.ndarray, buck
                 if len(seen) > _SEEN:
                     seen.clear()
                 seen.add(digest)
-                tokens, stands_for, matches, counts = prefix(shingles, shared.value, percent)
+                tokens, matches, counts = prefix(shingles, shared.value, percent)
                 rows = np.empty(len(tokens), _POSTING)
                 rows["t"], rows["f"], rows["n"] = tokens, _short(digest), len(shingles)
-                rows["v"], rows["l"], rows["hot"] = stands_for, matches, counts >= HOT
+                rows["r"], rows["l"], rows["hot"] = np.arange(1, len(tokens) + 1), matches, counts >= HOT
                 rows["p"] = min(255, int(12 * np.log2(1 + counts.mean())))
                 held.append(rows)
                 size_held += len(rows)
@@ -219,14 +221,14 @@ def _postings(docs: DataFrame, size: int, percent: int, sketch: np.ndarray, buck
                 "t": pa.array(rows["t"].copy().view("<i8")),
                 "f": pa.array(rows["f"].copy()),
                 "n": pa.array(rows["n"].astype(np.int64)),
-                "v": pa.array(rows["v"].astype(np.int32)),
+                "r": pa.array(rows["r"].astype(np.int64)),
                 "l": pa.array(rows["l"].astype(np.int32)),
                 "p": pa.array(rows["p"].astype(np.int32)),
             }
         )
 
     dealt_rows = docs.mapInArrow(listed, "bucket int, rows binary").repartition(buckets, "bucket")
-    return dealt_rows.sortWithinPartitions("bucket").mapInArrow(shared_ones, "t long, f long, n long, v int, l int, p int")
+    return dealt_rows.sortWithinPartitions("bucket").mapInArrow(shared_ones, "t long, f long, n long, r long, l int, p int")
 
 
 def _involved(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
@@ -304,10 +306,11 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
 
     # What is left are pairs of different components.
     _, ones = _hubs(postings, placed)
-    others = ones.select("t", *[F.col(k).alias(o) for k, o in zip("fnvlc", "gmwkd", strict=True)])
+    others = ones.select("t", *[F.col(k).alias(o) for k, o in zip("fnrlc", "gmskd", strict=True)])
     matched = ones.join(others, "t").filter((F.col("f") < F.col("g")) & (F.col("c") != F.col("d")) & _fit(percent))
-    matched = matched.groupBy("f", "g").agg(F.count("*").alias("matches"), F.least(F.min("l"), F.min("k")).alias("asked"))
-    pairs = store(matched.filter("matches >= asked").select("f", "g"), "pairs")
+    matches = [F.count("*").alias("matches"), *[F.min(name).alias(name) for name in "nmlk"]]
+    matched = matched.groupBy("f", "g").agg(*matches).filter(F.col("matches") >= _asked(percent))
+    pairs = store(matched.select("f", "g"), "pairs")
     discard(postings)
     rest = _linked(rows, nodes, pairs, size, percent)
 
@@ -322,16 +325,40 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
 def _hubs(postings: DataFrame, placed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The hub of each shingle that sets of different components have, and the postings of those shingles."""
     listed = store(postings.join(placed, "f"), "placed_postings")
-    hub = F.max(F.struct("p", F.xxhash64("f").alias("h"), *"fnvlc")).alias("hub")
+    hub = F.max(F.struct("p", F.xxhash64("f").alias("h"), *"fnrlc")).alias("hub")
     hubs = listed.groupBy("t").agg(hub, F.min("c").alias("low"), F.max("c").alias("high")).filter("low != high")
-    hubs = hubs.select("t", *[F.col(f"hub.{k}").alias(o) for k, o in zip("fnvlc", "gmwkd", strict=True)])
+    hubs = hubs.select("t", *[F.col(f"hub.{k}").alias(o) for k, o in zip("fnrlc", "gmskd", strict=True)])
     return hubs, listed.join(hubs.select("t"), "t")
 
 
+def _share(percent: int, size):
+    """``percent`` of ``size``, rounded up."""
+    return F.ceil(size * percent / F.lit(100))
+
+
+def _overlap(percent: int):
+    """The shingles that sets of ``n`` and ``m`` share at least when they are similar enough."""
+    return F.ceil((F.col("n") + F.col("m")) * percent / F.lit(100 + percent))
+
+
 def _fit(percent: int):
-    """Whether two sets can be similar enough by size, and their match is within both prefixes."""
+    """Whether a shared shingle leaves two sets similar enough by size and rank, and is within both prefixes.
+
+    Shared shingles stand in one order in both sets: at most the smaller rank of them up to this one, and after it
+    at most what the shorter rest has.
+    """
     sizes = (100 * F.least("n", "m")) >= (percent * F.greatest("n", "m"))
-    return sizes & (F.greatest("v", "w") <= F.least("l", "k"))
+    asked = F.least("l", "k")
+    one = F.col("r") <= F.col("n") - _share(percent, F.col("n")) + asked
+    two = F.col("s") <= F.col("m") - _share(percent, F.col("m")) + asked
+    possible = F.least("r", "s") + F.least(F.col("n") - F.col("r"), F.col("m") - F.col("s"))
+    return sizes & one & two & (possible >= _overlap(percent))
+
+
+def _asked(percent: int):
+    """The matches of two similar sets in their prefixes: all they share but what can stand behind the prefixes."""
+    behind = F.greatest(_share(percent, F.col("n")), _share(percent, F.col("m"))) - F.least("l", "k")
+    return F.greatest(F.lit(1), _overlap(percent) - behind)
 
 
 def _linked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:

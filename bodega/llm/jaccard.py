@@ -294,8 +294,11 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
     # A set is compared with the one hub that shares most postings, in a few rounds over what is still apart.
     starred, placed = None, nodes.select("f", F.col("node").alias("c"))
     for turn in range(HUB_ROUNDS):
-        hubs, ones = _hubs(postings, placed)
-        near = ones.join(hubs, "t").filter((F.col("f") != F.col("g")) & (F.col("c") != F.col("d")) & _fit(percent))
+        listed = store(postings.select(*"tfnrlp").join(placed, "f"), "placed_postings")
+        met = store(listed.join(_hubs(listed), "t"), "hub_postings")
+        discard(postings, listed)
+        postings = met  # a shingle whose sets are all in one component is through
+        near = met.filter((F.col("f") != F.col("g")) & (F.col("c") != F.col("d")) & _fit(percent))
         votes = near.groupBy("f", "g").agg(F.count("*").alias("votes"), F.least(F.min("l"), F.min("k")).alias("asked"))
         best = votes.filter("votes >= asked").groupBy("f").agg(F.max(F.struct("votes", "g")).alias("best"))
         best = store(best.select("f", F.col("best.g").alias("g")), "hub_pairs")
@@ -305,13 +308,13 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
         placed = nodes.join(parts, "node", "left").select("f", F.coalesce("component", "node").alias("c"))
 
     # What is left are pairs of different components.
-    _, ones = _hubs(postings, placed)
+    listed = store(postings.select(*"tfnrlp").join(placed, "f"), "placed_postings")
+    ones = listed.join(_hubs(listed).select("t"), "t")
     others = ones.select("t", *[F.col(k).alias(o) for k, o in zip("fnrlc", "gmskd", strict=True)])
     matched = ones.join(others, "t").filter((F.col("f") < F.col("g")) & (F.col("c") != F.col("d")) & _fit(percent))
-    matches = [F.count("*").alias("matches"), *[F.min(name).alias(name) for name in "nmlk"]]
-    matched = matched.groupBy("f", "g").agg(*matches).filter(F.col("matches") >= _asked(percent))
-    pairs = store(matched.select("f", "g"), "pairs")
-    discard(postings)
+    matched = matched.groupBy("f", "g").agg(F.count("*").alias("matches"), F.least(F.min("l"), F.min("k")).alias("asked"))
+    pairs = store(matched.filter("matches >= asked").select("f", "g"), "pairs")
+    discard(postings, listed)
     rest = _linked(rows, nodes, pairs, size, percent)
 
     whole = components(links.union(starred).union(rest))
@@ -322,43 +325,26 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
     return result.select(shown.alias("doc_id"), "n_shingles", F.coalesce("least", shown).alias("component_id"))
 
 
-def _hubs(postings: DataFrame, placed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The hub of each shingle that sets of different components have, and the postings of those shingles."""
-    listed = store(postings.join(placed, "f"), "placed_postings")
+def _hubs(listed: DataFrame) -> DataFrame:
+    """The hub of each shingle that sets of different components have."""
     hub = F.max(F.struct("p", F.xxhash64("f").alias("h"), *"fnrlc")).alias("hub")
     hubs = listed.groupBy("t").agg(hub, F.min("c").alias("low"), F.max("c").alias("high")).filter("low != high")
-    hubs = hubs.select("t", *[F.col(f"hub.{k}").alias(o) for k, o in zip("fnrlc", "gmskd", strict=True)])
-    return hubs, listed.join(hubs.select("t"), "t")
-
-
-def _share(percent: int, size):
-    """``percent`` of ``size``, rounded up."""
-    return F.ceil(size * percent / F.lit(100))
-
-
-def _overlap(percent: int):
-    """The shingles that sets of ``n`` and ``m`` share at least when they are similar enough."""
-    return F.ceil((F.col("n") + F.col("m")) * percent / F.lit(100 + percent))
+    return hubs.select("t", *[F.col(f"hub.{k}").alias(o) for k, o in zip("fnrlc", "gmskd", strict=True)])
 
 
 def _fit(percent: int):
-    """Whether a shared shingle leaves two sets similar enough by size and rank, and is within both prefixes.
+    """Whether a shared shingle leaves two sets similar enough by size and rank, and is one of the first they share.
 
-    Shared shingles stand in one order in both sets: at most the smaller rank of them up to this one, and after it
-    at most what the shorter rest has.
+    Similar sets share at least ``overlap``. The first shared shingles, as many as asked for, so stand within the first
+    ``n - overlap + asked`` and ``m - overlap + asked``; the prefixes are at least that long. Around any shared shingle
+    there are at most the smaller rank of them up to it, and after it what the shorter rest has.
     """
-    sizes = (100 * F.least("n", "m")) >= (percent * F.greatest("n", "m"))
+    n, m, r, s = (F.col(name) for name in "nmrs")
+    overlap = F.ceil((n + m) * percent / F.lit(100 + percent))
     asked = F.least("l", "k")
-    one = F.col("r") <= F.col("n") - _share(percent, F.col("n")) + asked
-    two = F.col("s") <= F.col("m") - _share(percent, F.col("m")) + asked
-    possible = F.least("r", "s") + F.least(F.col("n") - F.col("r"), F.col("m") - F.col("s"))
-    return sizes & one & two & (possible >= _overlap(percent))
-
-
-def _asked(percent: int):
-    """The matches of two similar sets in their prefixes: all they share but what can stand behind the prefixes."""
-    behind = F.greatest(_share(percent, F.col("n")), _share(percent, F.col("m"))) - F.least("l", "k")
-    return F.greatest(F.lit(1), _overlap(percent) - behind)
+    sizes = (100 * F.least(n, m)) >= (percent * F.greatest(n, m))
+    first = (r <= n - overlap + asked) & (s <= m - overlap + asked)
+    return sizes & first & (F.least(r, s) + F.least(n - r, m - s) >= overlap)
 
 
 def _linked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bodega.llm.arrays import (
@@ -309,12 +309,13 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
 
     # What is left are pairs of different components.
     listed = store(postings.select(*"tfnrlp").join(placed, "f"), "placed_postings")
-    ones = listed.join(_hubs(listed).select("t"), "t")
-    others = ones.select("t", *[F.col(k).alias(o) for k, o in zip("fnrlc", "gmskd", strict=True)])
-    matched = ones.join(others, "t").filter((F.col("f") < F.col("g")) & (F.col("c") != F.col("d")) & _fit(percent))
+    ones = store(_open(listed, percent), "open_postings")
+    others = ones.select("t", *[F.col(k).alias(o) for k, o in zip("fnrlcq", "gmskdu", strict=True)])
+    apart = (F.col("f") < F.col("g")) & (F.col("c") != F.col("d"))
+    matched = ones.join(others, "t").filter(apart & _fit(percent, F.least("q", "u")))
     matched = matched.groupBy("f", "g").agg(F.count("*").alias("matches"), F.least(F.min("l"), F.min("k")).alias("asked"))
     pairs = store(matched.filter("matches >= asked").select("f", "g"), "pairs")
-    discard(postings, listed)
+    discard(postings, listed, ones)
     rest = _linked(rows, nodes, pairs, size, percent)
 
     whole = components(links.union(starred).union(rest))
@@ -332,19 +333,44 @@ def _hubs(listed: DataFrame) -> DataFrame:
     return hubs.select("t", *[F.col(f"hub.{k}").alias(o) for k, o in zip("fnrlc", "gmskd", strict=True)])
 
 
-def _fit(percent: int):
+def _open(listed: DataFrame, percent: int) -> DataFrame:
+    """The postings whose shingle stands in sets of different components.
+
+    ``q`` tells how many of a set's open shingles come up to this one. What two sets share up to a shingle that both have
+    listed, both have listed, so that is at most the smaller ``q``. ``l`` is chosen anew, never larger, from the true
+    lengths of the lists that are still open: sets met ``l`` times are at most the ``l``-th part of all postings, and where
+    near copies are left, whose lists hold much the same sets, about as many as the longest list has.
+    """
+    spans = F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("sets")
+    wide = listed.groupBy("t").agg(*spans).filter("low != high").select("t", "sets")
+    own = Window.partitionBy("f")
+    spare = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100))
+    costs = []
+    for matches in range(1, MOST_MATCHES + 1):
+        within = F.when(F.col("r") <= spare + matches, F.col("sets")).otherwise(0)
+        scanned, longest = F.sum(within).over(own), F.max(within).over(own)
+        cost = scanned + _VERIFY_COST * F.least(scanned / matches, longest)
+        cost = F.struct(cost.alias("cost"), F.lit(matches).alias("matches"))
+        costs.append(F.when(F.col("l") >= matches, cost))
+    return listed.join(wide, "t").select(
+        *"tfnrc", F.row_number().over(own.orderBy("r")).alias("q"), F.array_min(F.array(*costs))["matches"].alias("l")
+    )
+
+
+def _fit(percent: int, before=None):
     """Whether a shared shingle leaves two sets similar enough by size and rank, and is one of the first they share.
 
     Similar sets share at least ``overlap``. The first shared shingles, as many as asked for, so stand within the first
-    ``n - overlap + asked`` and ``m - overlap + asked``; the prefixes are at least that long. Around any shared shingle
-    there are at most the smaller rank of them up to it, and after it what the shorter rest has.
+    ``n - overlap + asked`` and ``m - overlap + asked``; the prefixes are at least that long. ``before`` bounds what they
+    share up to this shingle, itself included, by default the smaller rank; after it there is what the shorter rest has.
     """
     n, m, r, s = (F.col(name) for name in "nmrs")
+    before = F.least("r", "s") if before is None else before
     overlap = F.ceil((n + m) * percent / F.lit(100 + percent))
-    asked = F.least("l", "k")
+    place = F.least("l", "k", before)
     sizes = (100 * F.least(n, m)) >= (percent * F.greatest(n, m))
-    first = (r <= n - overlap + asked) & (s <= m - overlap + asked)
-    return sizes & first & (F.least(r, s) + F.least(n - r, m - s) >= overlap)
+    first = (r <= n - overlap + place) & (s <= m - overlap + place)
+    return sizes & first & (before + F.least(n - r, m - s) >= overlap)
 
 
 def _linked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:

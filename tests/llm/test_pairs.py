@@ -59,6 +59,23 @@ def test_jaccard_links_what_all_pairs_link(spark):
     assert jaccard.classes(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_copies_too_far_from_the_hub_still_find_their_partners(spark):
+    pick = random.Random(8)
+    base = [f"w{i}" for i in range(100)]
+    texts = [" ".join(base)]
+    for i in range(150):
+        own = list(base)
+        for at in pick.sample(range(100), pick.randint(1, 6)):
+            own[at] = f"x{pick.randrange(3)}"
+        texts.append(" ".join(own))
+    sets = [{tuple(own[i : i + 5]) for i in range(len(own) - 4)} for own in (t.split() for t in texts)]
+    links = [
+        (i, j) for i in range(len(sets)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])
+    ]
+    found = jaccard.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == roots(range(len(sets)), links)
+
+
 def test_vectors_link_at_the_threshold(spark):
     random_ = np.random.default_rng(1)
     centres = random_.standard_normal((12, 24))

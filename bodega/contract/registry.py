@@ -28,7 +28,6 @@ NATIONS = tuple(f"NATION_{number}" for number in (1, 3, 5, 8, 13, 21))
 PRIORITY_AFTER, PRIORITY_BEFORE = dt.date(1996, 1, 1), dt.date(1998, 7, 1)
 RESTATED_FROM = dt.date(2001, 7, 1)
 
-_LOAD_STAMPS = ("fecha_carga", "fecha_actualizacion", "fecha_alerta")
 _registered: dict[str, Query] = {}
 
 
@@ -59,9 +58,8 @@ def queries() -> dict[str, Query]:
 
 
 def _stored(df: DataFrame, table: str) -> DataFrame:
-    """Gold rows as stored, without the load time."""
-    rows = gold.stored(df, table)
-    return rows.drop(*_LOAD_STAMPS) if table != "fact_inventario" else rows.drop("fecha_carga")
+    """Gold rows as stored, load time included."""
+    return gold.stored(df, table)
 
 
 def _scratch_warehouse(tables: TpchTables, label: str) -> Warehouse:
@@ -336,7 +334,7 @@ def upsert_clientes(t: TpchTables) -> DataFrame:
     warehouse.overwrite(table, silver.clientes(bronze, AS_OF), RUN_TS)
     batch = silver.clientes(promoted.unionByName(completed), AS_OF)
     warehouse.upsert(table, batch, ["cliente_id"], RUN_TS)
-    return warehouse.read(table).drop("_transform_timestamp")
+    return warehouse.read(table)
 
 
 @registered

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from bodega.sinks.warehouse import Warehouse
@@ -13,19 +14,30 @@ SHARED_TABLES = ("gold.fact_kpis_diarios", "gold.fact_kpis_inventario")
 
 
 def publish(warehouse: Warehouse, target: str, published: dt.datetime) -> DataFrame:
-    """Copy the shared tables below ``target`` and give the manifest: tabla, filas, ruta, publicado.
+    """Copy the shared tables below ``target`` and give the new manifest rows: tabla, filas, ruta, publicado.
 
-    The copy is plain parquet without partition folders, so a reader needs no catalog. Nothing else of the
-    warehouse is exposed, and later refreshes do not change a published copy.
+    Every publication is a folder of its own, plain parquet without partition folders, so a reader needs no catalog and
+    one who is still reading the previous copy keeps it. The manifest grows last: until then nobody sees the new copies.
+    Nothing else of the warehouse is exposed.
     """
+    root, version = target.rstrip("/"), uuid.uuid4().hex
     entries = []
     for table in SHARED_TABLES:
-        path = f"{target.rstrip('/')}/{table.split('.')[1]}"
+        path = f"{root}/{table.split('.')[1]}/{version}"
         copied = Observation()
         warehouse.read(table).observe(copied, F.count(F.lit(1)).alias("rows")).write.parquet(path)
         entries.append((table, copied.get["rows"], path, published))
     manifest = warehouse.spark.createDataFrame(
         entries, "tabla string, filas bigint, ruta string, publicado timestamp"
     )
-    manifest.write.parquet(f"{target.rstrip('/')}/manifest")
+    manifest.write.mode("append").parquet(f"{root}/manifest")
     return manifest
+
+
+def shared(spark: SparkSession, target: str, table: str) -> DataFrame:
+    """The copy of ``table`` that was published last; two of the same instant count as one state."""
+    entries = spark.read.parquet(f"{target.rstrip('/')}/manifest").filter(F.col("tabla") == table)
+    newest = entries.orderBy(F.desc("publicado"), "ruta").select("ruta").first()
+    if newest is None:
+        raise LookupError(f"{table} is not published in {target}")
+    return spark.read.parquet(newest.ruta)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from bodega.operators.layout import _bucket, _interleaved, morton_key
 from bodega.operators.upsert import AmbiguousUpdate
 from bodega.schemas import GOLD, SILVER, TABLES, conform, schema_rows
-from bodega.sinks.share import publish
+from bodega.sinks.share import publish, shared
 
 STOCK = "silver.inventario_clean"
 KPIS = "gold.fact_kpis_diarios"
@@ -316,6 +316,12 @@ def test_share_holds_only_the_two_marts(new_warehouse, kpis, tmp_path, spark):
     target = str(tmp_path / "share")
     manifest = {row.tabla: row.filas for row in publish(warehouse, target, RUN_TS).collect()}
     assert manifest == {KPIS: 2, "gold.fact_kpis_inventario": 1}
-    warehouse.overwrite(KPIS, kpis([]))
-    assert spark.read.parquet(f"{target}/fact_kpis_diarios").count() == 2
+    warehouse.overwrite(KPIS, kpis([(dt.date(2001, 8, 3), 1, 10)]))
+    before = shared(spark, target, KPIS)
+    assert before.count() == 2
     assert spark.read.parquet(f"{target}/manifest").count() == 2
+    publish(warehouse, target, RUN_TS + dt.timedelta(hours=1))
+    assert [row.fecha_key for row in shared(spark, target, KPIS).collect()] == [dt.date(2001, 8, 3)]
+    assert before.count() == 2, "who reads the first copy keeps it"
+    with pytest.raises(LookupError):
+        shared(spark, target, "gold.fact_ventas")

@@ -9,6 +9,10 @@ runs of repeated minimisers are cut out of the texts. A task sends equal strings
 however large, is one row for each task. A minimiser that more runs have than ``HOT`` is divided by a second
 one under another hash: equal windows agree on both. Buckets see distinct strings and say which windows of
 which string occur again; the runs look that up by the string's 128-bit digest.
+
+A passage in many different surroundings still gives many distinct strings under the same two minimisers. No task gets
+such a bucket: where its distinct strings have more than ``CHUNK_BYTES``, Spark counts their windows by hash,
+and windows of equal hash are told apart by a 128-bit digest of their text.
 """
 
 from __future__ import annotations
@@ -48,6 +52,15 @@ class Units:
         """Hashes of every ``gram`` units in a row."""
         raise NotImplementedError
 
+    def windows(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Every window of packed strings: string, number in it, hash, and where its bytes begin and end."""
+        starts, ends, first = self.bounds(data, bounds)
+        count = np.maximum(np.diff(first) - self.size + 1, 0)
+        window = ranges(first[:-1], count)
+        string = np.repeat(np.arange(len(count)), count)
+        hashes = span_hashes(span_hashes(BYTE_VALUES[data], starts, ends), window, window + self.size)
+        return string, window - first[string], hashes, starts[window], ends[window + self.size - 1]
+
     def packed(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: int, number: int) -> bytes:
         raise NotImplementedError
 
@@ -262,6 +275,74 @@ def _in_buckets(strings: DataFrame, bucket: Bucket) -> DataFrame:
     return strings.mapInArrow(chunks, "digest binary, repeated binary")
 
 
+def _large(strings: DataFrame) -> DataFrame:
+    """The minimisers whose distinct strings have more than ``CHUNK_BYTES``."""
+    size = F.octet_length("string").cast("long").alias("bytes")
+    total = F.sum("bytes").alias("bytes")
+    sizes = strings.select("minimiser", "digest", size)
+    most = sizes.groupBy("minimiser").agg(total).filter(F.col("bytes") > CHUNK_BYTES).select("minimiser")
+    distinct = sizes.join(most, "minimiser").distinct()
+    counted = distinct.groupBy("minimiser").agg(total, F.count("*").alias("n"))
+    return counted.filter((F.col("bytes") > CHUNK_BYTES) & (F.col("n") > 1)).select("minimiser")
+
+
+def _in_windows(units: Units, strings: DataFrame, label: str) -> DataFrame:
+    """What ``_in_buckets`` gives, for strings of buckets of any size: no task holds more than a slice of them."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, data, bounds in slices(batches, "string"):
+            found, counts = np.unique(units.windows(data, bounds)[2], return_counts=True)
+            yield pa.record_batch([pa.array(found.view(np.int64)), pa.array(counts, pa.int64())], names=["h", "n"])
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, bounds in slices(batches, "string"):
+            string, number, hashes, _, _ = units.windows(data, bounds)
+            yield pa.record_batch(
+                {
+                    "h": pa.array(hashes.view(np.int64)),
+                    "digest": column(rows, "digest").take(pa.array(string)),
+                    "w": pa.array(number, pa.int32()),
+                }
+            )
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, bounds in slices(batches, "string"):
+            lists = column(rows, "ws")
+            of = np.repeat(np.arange(rows.num_rows), np.diff(lists.offsets.to_numpy()))
+            wanted = lists.flatten().to_numpy()
+            string, _, _, begin, end = units.windows(data, bounds)
+            at = np.searchsorted(string, np.arange(rows.num_rows))[of] + wanted
+            texts = (data[b:e].tobytes() for b, e in zip(begin[at].tolist(), end[at].tolist(), strict=True))
+            yield pa.record_batch(
+                {
+                    "digest": column(rows, "digest").take(pa.array(of)),
+                    "w": pa.array(wanted, pa.int32()),
+                    "text": binary([hashlib.blake2b(t, digest_size=16).digest() for t in texts]),
+                }
+            )
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for row in column(batch, "ws"):
+                own = np.array(row.as_py())
+                again = np.zeros(own.max() + 1, bool)
+                again[own] = True
+                found.append(spans(again).astype("<i4").tobytes())
+            yield pa.record_batch([column(batch, "digest"), binary(found)], names=["digest", "repeated"])
+
+    counted = strings.select("string").mapInArrow(hashed, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    likely = store(counted.filter("n > 1").select("h"), f"{label}_hashes")
+    # The repeated hashes are stored, so that Spark can send them all round or cut up a hash that many strings have.
+    listed = strings.select("digest", "string").mapInArrow(placed, "h long, digest binary, w int").join(likely, "h")
+    listed = listed.groupBy("digest").agg(F.collect_list("w").alias("ws"))  # a run's windows: at most size - gram + 1
+    texts = strings.select("digest", "string").join(listed, "digest")
+    texts = store(texts.mapInArrow(read, "digest binary, w int, text binary"), f"{label}_windows")
+    same = store(texts.groupBy("text").agg(F.count("*").alias("n")).filter("n > 1").select("text"), f"{label}_same")
+    again = texts.join(same, "text").groupBy("digest").agg(F.collect_list("w").alias("ws"))
+    return again.mapInArrow(packed, "digest binary, repeated binary")
+
+
 def spans(bool_rows: np.ndarray) -> np.ndarray:
     """The runs of true values as rows of (begin, end)."""
     edges = np.diff(np.concatenate([[0], bool_rows.astype(np.int8), [0]]))
@@ -281,10 +362,15 @@ def repeated_spans(units: Units, docs: DataFrame, bucket: Bucket, label: str) ->
     cut = store(_cut(units, keyed, wanted), f"{label}_strings")
     discard(found)
     volume = bytes_of(cut, "string")
-    strings = cut.filter("string IS NOT NULL").dropDuplicates(["minimiser", "digest", "place", "string"])
-    strings = strings.select("minimiser", "digest", "place", "string")
-    dealt = strings.repartition(task_count(spark, volume, BUCKET_BYTES), "minimiser").sortWithinPartitions("minimiser")
-    flags = store(_in_buckets(dealt, bucket), f"{label}_flags")
+    strings = cut.filter("string IS NOT NULL").select("minimiser", "digest", "place", "string")
+    large = store(_large(strings), f"{label}_large")
+    small = strings.join(large, "minimiser", "left_anti").dropDuplicates(["minimiser", "digest", "place", "string"])
+    dealt = small.repartition(task_count(spark, volume, BUCKET_BYTES), "minimiser").sortWithinPartitions("minimiser")
+    flags = _in_buckets(dealt, bucket)
+    if not large.isEmpty():
+        crowded = strings.join(large, "minimiser", "left_semi").select("digest", "string").dropDuplicates(["digest", "string"])
+        flags = flags.union(_in_windows(units, store(crowded, f"{label}_crowded"), label))
+    flags = store(flags, f"{label}_flags")
     copied = cut.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest", F.lit(True).alias("whole"))
     marks = flags.join(copied, "digest", "full").select(
         "digest", F.when(F.col("whole").isNull(), F.col("repeated")).alias("repeated")

@@ -58,3 +58,37 @@ def test_bytes(spark, monkeypatch, hot):
 def test_an_empty_table(spark):
     docs = spark.createDataFrame([], DDL)
     assert substrings.remove_repeats(docs).count() == 0 and suffixes.remove_repeats(docs).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["words", "bytes"])
+def test_a_passage_in_many_surroundings_stays_in_bounded_buckets(spark, monkeypatch, kind):
+    monkeypatch.setattr(windows, "CHUNK_BYTES", 4096)
+    most = spark.sparkContext.accumulator(0)
+
+    def watched(make):
+        def made(size):
+            solve = make(size)
+
+            def counted(texts, keys, places):
+                most.add(max(0, sum(map(len, texts)) - 3 * 4096 - 1000))
+                return solve(texts, keys, places)
+
+            return counted
+
+        return made
+
+    module = substrings if kind == "words" else suffixes
+    monkeypatch.setattr(module, "_bucket", watched(module._bucket))
+    pick = random.Random(6)
+    passage = " ".join(f"p{i}" for i in range(12))
+    around = [" ".join(f"n{pick.randrange(10**6)}" for _ in range(14)) for _ in range(4000)]
+    texts = [f"{around[2 * i]} {passage} {around[2 * i + 1]}" for i in range(2000)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    if kind == "words":
+        found = substrings.remove_repeats(docs, 10, 3).selectExpr("others.doc_id", "n_words", "n_removed", "sha2(kept, 256)")
+        want = [(n, gone, kept) for n, gone, _, kept in expected([t.encode().split() for t in texts], b" ", 10)]
+    else:
+        found = suffixes.remove_repeats(docs, 30, 8).selectExpr("others.doc_id", "n_bytes", "n_removed", "n_spans", "sha2(kept, 256)")
+        want = list(expected([[bytes([b]) for b in t.encode()] for t in texts], b"", 30))
+    assert sorted(map(tuple, found.collect())) == [(i, *own) for i, own in enumerate(want)]
+    assert most.value == 0, "a bucket went over its bound"

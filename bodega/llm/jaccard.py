@@ -85,7 +85,7 @@ def _opened(packed: bytes) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n_shingles, f, digest) for every row; ``f`` is the start of the digest."""
+    """(doc_id, x, n_shingles, f, digest) for every row; ``f`` is the start of the digest."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, bounds in slices(batches, "text"):
@@ -94,13 +94,14 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
             yield pa.record_batch(
                 {
                     "doc_id": column(rows, "doc_id"),
+                    "x": column(rows, "x"),
                     "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                     "f": pa.array([_short(d) for d in digests], pa.int64()),
                     "digest": binary(digests),
                 }
             )
 
-    return docs.mapInArrow(found, "doc_id long, n_shingles long, f long, digest binary")
+    return docs.mapInArrow(found, "doc_id long, x long, n_shingles long, f long, digest binary")
 
 
 def _sketch(docs: DataFrame, size: int) -> np.ndarray:
@@ -231,22 +232,29 @@ def _postings(docs: DataFrame, size: int, percent: int, sketch: np.ndarray, buck
     return dealt_rows.sortWithinPartitions("bucket").mapInArrow(shared_ones, "t long, f long, n long, r long, l int, p int")
 
 
-def _involved(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """(f, node, n, shingles) of the documents in ``ids``, their sets packed."""
+def _involved(docs: DataFrame, seats: DataFrame, size: int) -> DataFrame:
+    """(f, node, shingles) of the sets in ``seats``, packed; a row is read again for the set whose seat it is."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for rows, data, bounds in slices(batches, "text"):
             sets = shingle_sets(data, bounds, size)
+            own, nodes = [], column(rows, "node").to_pylist()
+            for k, (node, digest) in enumerate(zip(nodes, column(rows, "digest").to_pylist(), strict=True)):
+                if node not in seen and _digest(sets[k]) == digest:  # a task sends a set once
+                    own.append(k)
+                    seen.add(node)
             yield pa.record_batch(
                 {
-                    "f": pa.array([_short(_digest(s)) for s in sets], pa.int64()),
-                    "node": column(rows, "doc_id"),
-                    "shingles": binary([_packed(s) for s in sets]),
+                    "f": column(rows, "f").take(pa.array(own, pa.int64())),
+                    "node": column(rows, "node").take(pa.array(own, pa.int64())),
+                    "shingles": binary([_packed(sets[k]) for k in own]),
                 }
             )
+            if len(seen) > _SEEN:
+                seen.clear()
 
-    chosen = docs.join(ids, "doc_id", "left_semi")
-    return chosen.mapInArrow(packed, "f long, node long, shingles binary")
+    return docs.join(seats, ["doc_id", "x"]).mapInArrow(packed, "f long, node long, shingles binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -269,26 +277,50 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(alike, "a long, b long")
 
 
+def keyed(docs: DataFrame) -> list:
+    """The columns (doc_id, x, text) that tell documents apart: the id, ``NO_ID`` for none, a hash of the text, the text."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    return [key.alias("doc_id"), F.xxhash64(text).alias("x"), text.alias("text")]
+
+
 def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``.
 
     ``component_id`` is the smallest id reachable by links; two documents link when 100 * intersection >=
-    ``percent`` * union of their sets. A null or empty text has no shingles and links with nothing; rows of one
-    id are one node; a null id comes out null unless it links to a document with an id. Other columns are
-    not looked at.
+    ``percent`` * union of their sets. A null or empty text has no shingles and links with nothing. Rows never link by
+    their id, whether it is null or repeated: a null id comes out null unless its own text links to a document with an
+    id. Other columns are not looked at.
+    """
+    found, sets, _ = _grouped(docs, size, percent)
+    result = found.join(sets, ["f", "digest"], "left")
+    shown = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
+    own = F.when(F.col("n_shingles") == 0, shown)
+    return result.select(shown.alias("doc_id"), "n_shingles", F.coalesce("least", own).alias("component_id"))
+
+
+def representatives(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, x, wordless), as ``keyed`` has them: one document of each component, and every one without words."""
+    found, _, named = _grouped(docs, size, percent)
+    without = found.filter("n_shingles = 0").select("doc_id", "x", F.lit(True).alias("wordless")).distinct()
+    return named.select("seat.doc_id", "seat.x", F.lit(False).alias("wordless")).union(without)
+
+
+def _grouped(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows with their sets, (f, digest, least) of each distinct set, and (component, least, seat) of each component.
+
+    The nodes of the graph are the distinct sets. The seat of a set or component is its document with the smallest id.
     """
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col("text").cast("string"))
-    rows = rows.withColumn("text", F.coalesce("text", F.lit("")))
+    rows = docs.select(*keyed(docs))
     found = store(_sets(rows, size), "sets")
     filled = found.filter("n_shingles > 0")
     known = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
-    distinct = filled.groupBy("f", "digest").agg(F.coalesce(F.min(known), F.lit(NO_ID)).alias("node"))
-    distinct = store(distinct, "distinct_sets")
+    seat = F.min(F.struct(known.isNull().alias("no_id"), "doc_id", "x")).alias("seat")
+    distinct = filled.groupBy("f", "digest").agg(F.min(known).alias("least"), seat)
+    distinct = store(distinct.withColumn("node", F.monotonically_increasing_id()), "distinct_sets")
     buckets = task_count(docs.sparkSession, bytes_of(rows, "text") // 16, POSTINGS)
     postings = store(_postings(rows, size, percent, _sketch(rows, size), buckets), "postings")
-    nodes = distinct.select("f", "node")
-    copies = filled.join(distinct, ["f", "digest"]).filter("doc_id != node")
-    links = store(copies.select(F.col("doc_id").alias("a"), F.col("node").alias("b")).distinct(), "copies")
+    nodes = distinct.select("f", "digest", "node", "seat.doc_id", "seat.x")
 
     # Near copies of one document meet at a hub, the set with the most common prefix: it has what its copies share.
     # A set is compared with the one hub that shares most postings, in a few rounds over what is still apart.
@@ -318,12 +350,12 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
     discard(postings, listed, ones)
     rest = _linked(rows, nodes, pairs, size, percent)
 
-    whole = components(links.union(starred).union(rest))
-    lowest = whole.filter(F.col("node") != NO_ID).groupBy("component").agg(F.min("node").alias("least"))
-    named = whole.join(lowest, "component", "left").select("node", "least")
-    result = found.join(named, found["doc_id"] == named["node"], "left")
-    shown = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
-    return result.select(shown.alias("doc_id"), "n_shingles", F.coalesce("least", shown).alias("component_id"))
+    whole = components(starred.union(rest))
+    placed = distinct.join(whole, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = placed.groupBy("component").agg(F.min("least").alias("least"), F.min("seat").alias("seat"))
+    named = store(named, "components")
+    sets = placed.select("f", "digest", "component").join(named.select("component", "least"), "component")
+    return found, store(sets.select("f", "digest", "least"), "named_sets"), named
 
 
 def _hubs(listed: DataFrame) -> DataFrame:
@@ -375,8 +407,8 @@ def _fit(percent: int, before=None):
 
 def _linked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
     """The verified ones of ``pairs`` as links of nodes; only texts in a pair are read again."""
-    ids = pairs.select("f").union(pairs.select("g")).distinct().join(nodes, "f").select(F.col("node").alias("doc_id"))
-    sets = store(_involved(docs, ids.distinct(), size), "involved_sets")
+    seats = nodes.join(pairs.select("f").union(pairs.select("g")).distinct(), "f")
+    sets = store(_involved(docs, seats, size), "involved_sets")
     links = store(_verified(pairs, sets, percent), "verified")
     discard(sets, pairs)
     return links

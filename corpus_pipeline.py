@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bodega.llm import decontaminate, jaccard, language, packing, substrings
@@ -22,10 +22,15 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays; one without words stays too."""
-    kept = jaccard.classes(docs).filter("component_id <=> doc_id").select("doc_id").distinct()
-    rows = docs.join(kept.withColumnRenamed("doc_id", "_kept_id"), F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
-    return rows.select(*[F.col(f"`{name}`") for name in docs.columns])
+    """Of each group of near copies one row with the smallest id stays; every row without words stays too."""
+    columns = [F.col(f"`{name}`") for name in docs.columns]
+    rows = docs.select(F.struct(*columns).alias("others"), *jaccard.keyed(docs))
+    rows = rows.join(jaccard.representatives(docs), ["doc_id", "x"])
+    # Rows of one id and text are repeats, but not those without words: each of them has a number of its own.
+    rows = rows.withColumn("own", F.when(F.col("wordless"), F.monotonically_increasing_id()))
+    order = [F.col(f"others.`{name}`") for name in docs.columns]
+    place = F.row_number().over(Window.partitionBy("doc_id", "x", "text", "own").orderBy(*order))
+    return rows.withColumn("place", place).filter("place = 1").select("others.*")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

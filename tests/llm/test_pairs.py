@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import corpus_pipeline
 import numpy as np
 
 from bodega.llm import embeddings, jaccard
@@ -93,3 +94,18 @@ def test_vectors_link_at_the_threshold(spark):
     assert sum(got[i] for i in range(len(rows))) >= 0.98 * wanted > 0
     assert all(got[i] == 0 for i, _ in odd)
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in found)
+
+
+def test_copies_without_an_id_join_nothing_else(spark):
+    one, two, three, four = (" ".join(f"{name}{i}" for i in range(30)) for name in "abcd")
+    rows = [(1, one), (None, one), (2, two), (None, two), (None, three), (7, four), (7, two), (2, two)]
+    rows += [(None, None), (None, ""), (8, "")]
+    docs = spark.createDataFrame([(*row, "o") for row in rows], "doc_id long, text string, others string")
+    found = jaccard.classes(docs).collect()
+    got = sorted(((r["doc_id"], r["component_id"]) for r in found), key=str)
+    want = [(1, 1), (None, 1), (2, 2), (None, 2), (None, None), (7, 7), (7, 2), (2, 2), (None, None), (None, None), (8, 8)]
+    assert got == sorted(want, key=str)
+    kept = corpus_pipeline.ngram_jaccard_join(spark, docs, "").collect()
+    assert kept[0].asDict().keys() == {"doc_id", "text", "others"}
+    stays = [(1, one), (2, two), (None, three), (7, four), (None, None), (None, ""), (8, "")]
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted(stays, key=str)

@@ -2,12 +2,13 @@
 
 A seed is a mask over consecutive words; words at its gaps may differ. All seeds of the benchmark items are hashed,
 every position of a text is looked up under every mask, and each hit names an item and an alignment. Along the
-alignment, the best stretch of equal and replaced words decides.
+alignment, the stretch with most equal words decides, among those where they make up the share.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -75,17 +76,26 @@ class Benchmark:
                     yield position, int(self.item[at]), int(self.place[at])
 
 
-def overlap(equal: np.ndarray) -> tuple[int, int, int]:
-    """The best stretch of an alignment: equal words count 1, others -1. Gives its matches, begin and length."""
-    best, best_at, total, begin = 0, (0, 0), 0, 0
-    for k, same in enumerate(equal.tolist()):
-        if total <= 0:
-            total, begin = 0, k
-        total += 1 if same else -1
-        if total > best:
-            best, best_at = total, (begin, k + 1)
-    begin, end = best_at
-    return int(equal[begin:end].sum()), begin, end - begin
+def overlap(equal: np.ndarray, share: float) -> tuple[int, int, int]:
+    """The stretch with most equal words among those where they make up ``share``, the shortest of such.
+
+    Gives its matches, begin and length. With an equal word worth 1 - share and another -share, in whole numbers, a
+    stretch will do when its sum is not negative; for each end the longest such stretch has most equal words.
+    """
+    exact = Fraction(str(share))
+    sums = np.zeros(len(equal) + 1, np.int64)
+    np.cumsum(np.where(equal, exact.denominator - exact.numerator, -exact.numerator), out=sums[1:])
+    begin = np.searchsorted(-np.minimum.accumulate(sums), -sums)
+    before = np.concatenate([[0], np.cumsum(equal)])
+    same = before - before[begin]
+    most = int(same.max())
+    if not most:
+        return 0, 0, 0
+    places = np.flatnonzero(equal)
+    first = before[begin[same == most]]
+    lengths = places[first + most - 1] - places[first] + 1
+    best = int(np.argmin(lengths))
+    return most, int(places[first[best]]), int(lengths[best])
 
 
 def _leaks(benchmark: Benchmark, hashes: np.ndarray, first: np.ndarray, matches: int, share: float) -> dict[int, dict]:
@@ -102,8 +112,8 @@ def _leaks(benchmark: Benchmark, hashes: np.ndarray, first: np.ndarray, matches:
         needed = min(matches, len(own))
         begin, end = max(first[text], shift), min(first[text + 1], shift + len(own))
         equal = hashes[begin:end] == own[begin - shift : end - shift]
-        same, at, length = overlap(equal)
-        if same >= needed and same >= share * length and same > found.get(text, {}).get(item, (0,))[0]:
+        same, at, length = overlap(equal, share)
+        if same >= needed and same > found.get(text, {}).get(item, (0,))[0]:
             found.setdefault(text, {})[item] = (same, int(begin - first[text]) + at, length)
     return found
 

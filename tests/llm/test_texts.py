@@ -139,3 +139,22 @@ def test_leaks_survive_replaced_words_and_case(spark):
     docs = spark.createDataFrame([(i, t, "o") for i, t in enumerate(texts)], f"{DDL}, leaks string")
     found = {r["doc_id"]: r["items"] for r in decontaminate.marked(docs, items).selectExpr("others.doc_id", "leaks.item_id AS items").collect()}
     assert {i: set(x) for i, x in found.items()} == {0: {5}, 1: {5}, 2: set(), 3: set(), 4: set(), 5: set()}
+
+
+def test_the_overlap_is_the_best_of_all_stretches(spark):
+    random_ = np.random.default_rng(7)
+    for share in (0.8, 0.75, 1.0):
+        for _ in range(300):
+            equal = random_.random(random_.integers(0, 60)) > random_.uniform(0, 0.5)
+            sums = np.concatenate([[0], np.cumsum(equal)])
+            want = max(
+                (int(sums[e] - sums[b]) for b in range(len(equal)) for e in range(b + 1, len(equal) + 1)
+                 if sums[e] - sums[b] >= share * (e - b)), default=0,
+            )
+            same, at, length = decontaminate.overlap(equal, share)
+            assert same == want == equal[at : at + length].sum() and same >= share * length
+    item = [f"w{i}" for i in range(59)]
+    text = " ".join(w if i < 14 or (i - 14) % 5 < 3 else "other" for i, w in enumerate(item))
+    items = spark.createDataFrame([(5, " ".join(item))], "item_id long, text string")
+    found = decontaminate.marked(spark.createDataFrame([(1, text)], DDL), items).selectExpr("leaks.item_id AS items").collect()
+    assert [r["items"] for r in found] == [[5]], "14 exact words stand beside half-equal ones"

@@ -29,7 +29,6 @@ RECALL = 0.995
 LINES = 64
 WINDOW = 2.0
 BLOCK = 1024
-NO_ID = -(1 << 63)
 _MISS = 1e-4
 _FAR = math.sqrt(2)
 _PAIRS = 1 << 16
@@ -109,7 +108,7 @@ def _vectors(table: DataFrame, kind: str) -> DataFrame:
                 names=["vec_id", "width", "digest", "raw"],
             )
 
-    rows = table.select(F.coalesce(F.col("vec_id").cast("long"), F.lit(NO_ID)).alias("vec_id"), "embedding")
+    rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
     return rows.mapInArrow(parsed, "vec_id long, width int, digest binary, raw binary")
 
 
@@ -238,14 +237,16 @@ def near_duplicates(table: DataFrame, cosine: float = COSINE) -> DataFrame:
 
     Vectors link at a cosine of ``cosine`` or more in double precision. Equal vectors are one class, compared once; its
     members link with each other. A vector that is null, empty, zero or has null or non-finite components links with
-    nothing, and neither do vectors of different lengths. Ids should differ: rows of one id are one node. A null id
-    comes out null and is kept if nothing else is reachable.
+    nothing, and neither do vectors of different lengths. Rows never link by their id, whether it is null or repeated.
+    ``component_id`` is the smallest id of a component, null where no row has one. One row of each component is
+    kept, one with that id.
     """
     kind = "<f8" if "double" in table.schema["embedding"].dataType.simpleString() else "<f4"
-    rows = store(_vectors(table, kind), "vectors")
+    rows = store(_vectors(table, kind).withColumn("row", F.monotonically_increasing_id()), "vectors")
     usable = rows.filter("digest IS NOT NULL")
-    distinct = usable.groupBy("digest", "width", "raw").agg(F.min("vec_id").alias("node"), F.count("*").alias("n"))
-    distinct = store(distinct, "distinct_vectors")
+    first = F.min(F.struct(F.col("vec_id").isNull().alias("no_id"), "vec_id", "row")).alias("first")
+    distinct = usable.groupBy("digest", "width", "raw").agg(first, F.count("*").alias("n"))
+    distinct = store(distinct.withColumn("node", F.monotonically_increasing_id()), "distinct_vectors")
     found = None
     for width, number in distinct.groupBy("width").agg(F.count("*")).collect():
         own = _links(distinct.filter(F.col("width") == width), width, number, cosine, kind)
@@ -256,14 +257,16 @@ def near_duplicates(table: DataFrame, cosine: float = COSINE) -> DataFrame:
     degrees = found.groupBy("node").agg(F.sum("links").alias("links"))
     parts = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     classes = distinct.join(degrees, "node", "left").join(parts, "node", "left").select(
-        "digest", "node", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component"
-    )
-    joined = rows.select("vec_id", "digest").join(classes, "digest", "left")
-    shown = F.when(F.col("vec_id") != NO_ID, F.col("vec_id"))
-    whole = F.coalesce("component", "node", "vec_id")
+        "digest", "first", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+        F.coalesce("component", "node").alias("component"),
+    )
+    named = store(classes.groupBy("component").agg(F.min("first").alias("kept")), "vector_components")
+    classes = store(classes.drop("first").join(named, "component").drop("component"), "vector_classes")
+    joined = rows.select("vec_id", "digest", "row").join(classes, "digest", "left")
+    alone = F.col("digest").isNull()
     return joined.select(
-        shown.alias("vec_id"),
+        "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.when(whole != NO_ID, whole).alias("component_id"),
-        (F.col("vec_id") == whole).alias("kept"),
+        F.when(alone, F.col("vec_id")).otherwise(F.col("kept.vec_id")).alias("component_id"),
+        (alone | F.coalesce(F.col("row") == F.col("kept.row"), F.lit(False))).alias("kept"),
     )

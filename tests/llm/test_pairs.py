@@ -109,3 +109,14 @@ def test_copies_without_an_id_join_nothing_else(spark):
     assert kept[0].asDict().keys() == {"doc_id", "text", "others"}
     stays = [(1, one), (2, two), (None, three), (7, four), (None, None), (None, ""), (8, "")]
     assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted(stays, key=str)
+
+
+def test_vectors_without_an_id_join_nothing_else(spark):
+    axes = [[1.0 if i == k else 0.0 for i in range(8)] for k in range(3)]
+    near = [1.0, 0.01, *[0.0] * 6]
+    rows = [(1, axes[0]), (None, axes[0]), (5, near), (2, axes[1]), (None, axes[1]), (None, axes[2]), (None, axes[2]), (None, None)]
+    found = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    got = sorted((tuple(r) for r in found), key=str)
+    want = [(1, 2, 1, True), (None, 2, 1, False), (5, 2, 1, False), (2, 1, 2, True), (None, 1, 2, False)]
+    want += [(None, 1, None, True), (None, 1, None, False), (None, 0, None, True)]
+    assert got == sorted(want, key=str)

@@ -12,6 +12,7 @@ from bodega.llm import (
     embeddings,
     jaccard,
     language,
+    merkle,
     packing,
     substrings,
     suffixes,
@@ -83,6 +84,26 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read(parts).drop("html", "url")
 
 
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select(*merkle.FIELDS)
+    fields = {name: F.col(name) for name in merkle.FIELDS}
+    upper = "".join(map(chr, range(ord("A"), ord("Z") + 1)))
+    lowered = fields | {"text": F.translate("text", upper, upper.lower())}
+    hit = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    tampered = F.when(hit, merkle.digest(list(lowered.values()))).alias("tampered")
+    rows = merkle.manifest(docs, merkle.digest(list(fields.values())), keep=[F.col("doc_id"), tampered])
+    rows = rows.withColumn("folded_root", merkle.folded(F.coalesce("others.tampered", "leaf"), F.col("path")))
+    return rows.select(
+        "others.doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_embedding_near_dedup,
@@ -95,6 +116,7 @@ def queries() -> dict[str, Query]:
         op8_suffix_dedup,
         op9_benchmark_decontamination,
         op10_warc,
+        op12_merkle_manifest,
     )
     return {query.__name__: query for query in found}
 

@@ -18,6 +18,7 @@ from bodega.llm import (
     suffixes,
     toxicity,
     training_order,
+    twins,
     warc,
 )
 from bodega.llm.shared import scratch_path
@@ -122,4 +123,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_merkle_manifest": twins.MERKLE_MANIFEST}

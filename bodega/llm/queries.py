@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bodega.llm import (
+    collocations,
     decontaminate,
     embeddings,
     jaccard,
@@ -16,6 +17,7 @@ from bodega.llm import (
     packing,
     substrings,
     suffixes,
+    token_counts,
     toxicity,
     training_order,
     twins,
@@ -85,6 +87,12 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read(parts).drop("html", "url")
 
 
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    rows = token_counts.counted(_table(spark, folder, "documents"))
+    over = (F.col("n_tokens") > token_counts.LIMIT).alias("over_limit")
+    return rows.select("others.doc_id", "n_bytes", "n_tokens", over)
+
+
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select(*merkle.FIELDS)
     fields = {name: F.col(name) for name in merkle.FIELDS}
@@ -105,6 +113,10 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_embedding_near_dedup,
@@ -117,10 +129,15 @@ def queries() -> dict[str, Query]:
         op8_suffix_dedup,
         op9_benchmark_decontamination,
         op10_warc,
+        op11_token_counts,
         op12_merkle_manifest,
+        op13_phrase_collocations,
     )
     return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op12_merkle_manifest": twins.MERKLE_MANIFEST}
+    return {
+        "op12_merkle_manifest": twins.MERKLE_MANIFEST,
+        "op13_phrase_collocations": twins.PHRASE_COLLOCATIONS,
+    }

@@ -84,3 +84,54 @@ SELECT p.doc_id, p.leaf, s.subroot, t.root, sha256(coalesce(j.siblings, '')) AS
 FROM places p JOIN subroots s ON s.tree = p.tree CROSS JOIN top t
 JOIN ends e ON e.tree = p.tree AND e.place = p.place LEFT JOIN joined j ON j.tree = p.tree AND j.place = p.place
 """
+
+#: Counts of all phrases of one to four words, the lowest cut of each candidate, and what longer ones leave of them.
+PHRASE_COLLOCATIONS = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang, regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS parts
+    FROM documents
+),
+pieces AS (SELECT row, lang, generate_subscripts(parts, 1) AS piece, unnest(parts) AS part FROM texts),
+split AS (SELECT row, lang, piece, regexp_split_to_array(part, '[\x20\x09]+') AS words FROM pieces),
+listed AS (SELECT row, lang, piece, generate_subscripts(words, 1) AS place, unnest(words) AS w1 FROM split),
+followed AS (
+    SELECT lang, w1, lead(w1, 1) OVER piece_words AS w2, lead(w1, 2) OVER piece_words AS w3, lead(w1, 3) OVER piece_words AS w4
+    FROM listed WHERE w1 <> '' WINDOW piece_words AS (PARTITION BY row, piece ORDER BY place)
+),
+grams AS (
+    SELECT lang, 1 AS k, w1 AS phrase, count(*) AS f FROM followed GROUP BY ALL
+    UNION ALL SELECT lang, 2, w1 || ' ' || w2, count(*) FROM followed WHERE w2 IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*) FROM followed WHERE w3 IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4, count(*) FROM followed WHERE w4 IS NOT NULL GROUP BY ALL
+),
+-- A part is at least as frequent as the whole.
+known AS MATERIALIZED (SELECT *, {'lang': lang, 'phrase': phrase} AS key FROM grams WHERE f >= 30),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS words FROM known WHERE k > 1),
+cuts AS MATERIALIZED (
+    SELECT c.lang, c.k, c.phrase, c.a, c.words, s.cut, {'lang': c.lang, 'phrase': array_to_string(c.words[1:s.cut], ' ')} AS head,
+        {'lang': c.lang, 'phrase': array_to_string(c.words[s.cut + 1:], ' ')} AS rest
+    FROM candidates c JOIN (VALUES (1), (2), (3)) s(cut) ON s.cut < c.k
+),
+scores AS (
+    SELECT c.*, h.f AS l, r.f AS r, ((2000000::HUGEINT * c.a) // (h.f + r.f))::BIGINT AS score
+    FROM cuts c JOIN known h ON h.key = c.head
+    JOIN known r ON r.key = c.rest
+),
+lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (
+    SELECT c.lang, array_to_string(c.words[p.begin:p.begin + s.size - 1], ' ') AS phrase, max(c.a) AS longer
+    FROM candidates c JOIN (VALUES (2), (3)) s(size) ON s.size < c.k JOIN (VALUES (1), (2), (3)) p(begin) ON p.begin + s.size - 1 <= c.k
+    GROUP BY ALL
+),
+kept AS (
+    SELECT b.* FROM lowest b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
+    WHERE i.longer IS NULL OR 100::HUGEINT * i.longer < 80::HUGEINT * b.a
+),
+ranked AS (
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, score
+    FROM kept
+)
+SELECT x.lang, x.rank, x.phrase, x.a, x.l, x.r, t.n, x.score FROM ranked x JOIN totals t ON t.lang = x.lang WHERE x.rank <= 2000
+"""

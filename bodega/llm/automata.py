@@ -37,11 +37,12 @@ class Sequences:
     def slice(self, begin: int, end: int) -> Sequences:
         """A run of the sequences with only the words that it uses."""
         rows = self.rows[begin:end]
-        used, which = np.unique(rows[:, 1:], return_inverse=True)
-        shift = int(len(used) == 0 or used[0] != 0)
-        kept = self.words.take(pa.array(used[1 - shift :] - 1)) if len(used) else self.words[:0]
-        renamed = np.concatenate([rows[:, :1], which.reshape(len(rows), WORDS) + shift], axis=1)
-        return Sequences(self.groups, kept, renamed.astype(np.int32), self.counts[begin:end])
+        used = np.zeros(len(self.words) + 1, bool)
+        used[rows[:, 1:]] = True
+        used[0] = True
+        number = (np.cumsum(used) - 1).astype(np.int32)
+        kept = self.words.take(pa.array(np.flatnonzero(used)[1:] - 1))
+        return Sequences(self.groups, kept, np.column_stack([rows[:, 0], number[rows[:, 1:]]]), self.counts[begin:end])
 
     def key(self, at: int) -> bytes:
         """A sequence as bytes in the order of sequences, with long words cut: any key parts all sequences alike."""
@@ -87,10 +88,11 @@ def counted(groups: list[bytes], words: pa.Array, rows: np.ndarray, counts: np.n
             rows[:, depth] = keys & U64((1 << bits) - 1) if depth else keys
             keys = keys >> U64(bits)
     else:
-        order = np.lexsort(rows.T[::-1])
+        words_at = [rows[:, depth].astype(U64) for depth in range(1, DEPTH)]
+        high = (rows[:, 0].astype(U64) << U64(bits) | words_at[0]) << U64(bits) | words_at[1]
+        order = np.lexsort((words_at[2] << U64(bits) | words_at[3], high))
         rows = rows[order]
-        new = np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)])[: len(rows)]
-        first = np.flatnonzero(new)
+        first = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)])[: len(rows)])
         added = np.ones(len(order), np.int64) if counts is None else counts[order]
         rows, counts = rows[first], np.add.reduceat(added, first) if len(first) else added
     return Sequences(groups, words, rows, counts.astype(np.int64))
@@ -130,7 +132,7 @@ def _packed(values: np.ndarray) -> bytes:
 def _unpacked(blob: bytes, at: int) -> tuple[np.ndarray, int]:
     width, n = blob[at], int.from_bytes(blob[at + 1 : at + 9], "little")
     end = at + 9 + n * width
-    return np.frombuffer(blob, f"<u{width}", n, at + 9).astype(np.int64), end
+    return np.frombuffer(blob, f"<u{width}", n, at + 9), end
 
 
 def written(sequences: Sequences) -> bytes:
@@ -140,31 +142,36 @@ def written(sequences: Sequences) -> bytes:
     text = np.frombuffer(b"".join(sequences.words.to_pylist()), np.uint8)
     out = [_packed(part) for part in (*groups, lengths, text)]
     rows, target = sequences.rows, sequences.counts
+    # Whether a row's first symbols, as many as the place in the list says, differ from those of the row before.
+    new = [np.zeros(len(rows), bool)]
+    new[0][:1] = True
+    for depth in range(DEPTH):
+        new.append(new[-1].copy())
+        new[-1][1:] |= rows[1:, depth] != rows[:-1, depth]
+    at = np.arange(len(rows))
     for depth in range(DEPTH - 1, -1, -1):
-        # One state per distinct prefix of ``depth`` symbols.
-        new = np.ones(len(rows), bool)
-        new[1:] = (rows[1:, :depth] != rows[:-1, :depth]).any(axis=1)
-        first = np.flatnonzero(new)
-        arcs = np.diff(np.append(first, len(rows)))
-        state = np.empty(len(first), np.int64)
+        # One state per distinct prefix of ``depth`` symbols, one arc per distinct prefix of one more.
+        symbols = rows[at, depth]
+        first = np.flatnonzero(new[depth][at])
+        arcs = np.diff(np.append(first, len(at)))
         single = arcs == 1
         alone = first[single]
-        order = np.lexsort((target[alone], rows[alone, depth]))
-        symbol, goal = rows[alone, depth][order], target[alone][order]
+        if len(target) and int(target.max()) < 1 << 32:
+            order = np.argsort(symbols[alone].astype(U64) << U64(32) | target[alone].astype(U64))
+        else:
+            order = np.lexsort((target[alone], symbols[alone]))
+        symbol, goal = symbols[alone][order], target[alone][order]
         differs = np.ones(len(order), bool)
         differs[1:] = (symbol[1:] != symbol[:-1]) | (goal[1:] != goal[:-1])
-        shared = np.cumsum(differs) - 1
-        number = np.empty(len(order), np.int64)
-        number[order] = shared
-        state[single] = number
         singles = int(differs.sum())
-        state[~single] = singles + np.arange(int((~single).sum()))
+        state = np.empty(len(first), np.int64)
+        state[np.flatnonzero(single)[order]] = np.cumsum(differs) - 1
+        state[~single] = singles + np.arange(len(first) - len(alone))
         branching = ranges(first[~single], arcs[~single])
         sizes = np.concatenate([np.ones(singles, np.int64), arcs[~single]])
-        symbols = np.concatenate([symbol[differs], rows[branching, depth]])
         goals = np.concatenate([goal[differs], target[branching]])
-        out += [_packed(sizes), _packed(symbols), _packed(goals)]
-        rows, target = rows[first], state
+        out += [_packed(sizes), _packed(np.concatenate([symbol[differs], symbols[branching]])), _packed(goals)]
+        at, target = at[first], state
     return zstandard.ZstdCompressor(level=3).compress(b"".join(out))
 
 
@@ -176,18 +183,18 @@ def read(blob: bytes) -> Sequences:
         found, at = _unpacked(raw, at)
         columns.append(found)
     sizes, names, lengths, text = columns[:4]
-    ends = np.cumsum(sizes)
+    ends = np.cumsum(sizes, dtype=np.int64)
     name = names.astype(np.uint8).tobytes()
-    groups = [name[end - size : end] for size, end in zip(sizes, ends, strict=True)]
-    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    groups = [name[end - size : end] for size, end in zip(sizes.tolist(), ends.tolist(), strict=True)]
+    offsets = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]).astype(np.int64)
     buffers = [None, pa.py_buffer(offsets), pa.py_buffer(text.astype(np.uint8))]
     words = pa.Array.from_buffers(pa.large_binary(), len(lengths), buffers)
     layers = [columns[4 + 3 * k : 7 + 3 * k] for k in range(DEPTH)][::-1]
     state = np.zeros(1 if len(layers[0][0]) else 0, np.int64)
-    rows = np.zeros((len(state), 0), np.int32)
+    path: list[np.ndarray] = []
     for sizes, symbols, goals in layers:
-        first = np.cumsum(sizes) - sizes
-        arcs = ranges(first[state], sizes[state])
-        rows = np.column_stack([np.repeat(rows, sizes[state], axis=0), symbols[arcs].astype(np.int32)])
+        each = sizes[state].astype(np.int64)
+        arcs = ranges((np.cumsum(sizes, dtype=np.int64) - sizes)[state], each)
+        path = [np.repeat(column, each) for column in path] + [symbols[arcs].astype(np.int32)]
         state = goals[arcs]
-    return Sequences(groups, words, rows, state)
+    return Sequences(groups, words, np.column_stack(path), state.astype(np.int64))

@@ -30,8 +30,8 @@ SCALE = 2_000_000
 INSIDE_PERCENT = 80
 TOP = 2000
 UNKNOWN = "und"
-SHARD = 2_000_000
-RANGE = 2_000_000
+SHARD = 1_000_000
+RANGE = 1_000_000
 _GUIDES = 32
 _SALTS = 64
 _BREAK = np.zeros(256, bool)

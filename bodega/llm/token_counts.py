@@ -294,10 +294,10 @@ def frequent(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY,
 
     rows = store(docs.select(F.col(text).cast("string").alias("text")).mapInArrow(summary, _SUMMARY), "frequent")
     left = rows.count()
-    while left > MERGED_AT_ONCE:
+    while left > 1:
         left = -(-left // MERGED_AT_ONCE)
         rows = store(rows.repartition(left).mapInArrow(merge, _SUMMARY), "frequent")
-    found = merged([_EMPTY, *_summaries(rows.toArrow())], room)
+    found = merged([_EMPTY, *_summaries(rows.toArrow())], room)  # one row
     return Table(found[0], found[2])
 
 

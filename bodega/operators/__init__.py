@@ -1 +1 @@
-"""Reusable dataset operators: dedup, upsert, layout, quality counts."""
+"""Reusable dataset operators: dedup, upsert, quality counts."""

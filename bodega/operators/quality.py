@@ -1,35 +1,49 @@
-"""How many rows each cleaning rule lets through."""
+"""How many rows each step of the refresh gets and lets through, counted while the tables are written.
+
+The counts ride along with the writes as observed metrics, so no table is read a second time. A task that runs again after
+its executor was lost can be counted twice by Spark; the number of rows written is that of the final write.
+"""
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Mapping
-from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from bodega.plans import silver
-
-ALL_CHECKS, UNIQUE = "todas", "unicas"
-
-
-def table_report(bronze: DataFrame, table: str) -> DataFrame:
-    """(tabla, regla, filas_entrada, filas_validas) for each check of ``table``, for all together, and for the
-    rows left when each id is kept once.
-
-    One aggregate over the table counts everything; its row is then turned into one row per rule. The id is
-    wrapped in a struct because a distinct count leaves out NULL, but the dedup keeps one row of it.
-    """
-    valid = silver.all_checks(table)
-    rules = {name: F.expr(check) for name, check in silver.CHECKS[table].items()} | {ALL_CHECKS: valid}
-    counts = bronze.agg(
-        F.count(F.lit(1)).alias("filas_entrada"),
-        F.count_distinct(F.when(valid, F.struct("id"))).alias(UNIQUE),
-        *[F.count_if(check).alias(name) for name, check in rules.items()],
-    )
-    kept = counts.unpivot("filas_entrada", [*rules, UNIQUE], "regla", "filas_validas")
-    return kept.select(F.lit(table).alias("tabla"), "regla", "filas_entrada", "filas_validas")
-
-
-def report(bronze: Mapping[str, DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, (table_report(df, table) for table, df in bronze.items()))
+READ, ALL_CHECKS, UNIQUE, RECONCILED, WRITTEN = "leidas", "todas", "unicas", "conciliadas", "escritas"
+SCHEMA = "capa string, tabla string, regla string, filas_entrada bigint, filas_validas bigint"
+
+
+class StepCounts:
+    """The counts of one refresh: per layer, table and rule the rows that reach it and those that pass."""
+
+    def __init__(self) -> None:
+        self._seen: list[tuple[str, str, list[str], Observation]] = []
+        self._written: list[tuple[str, str, int]] = []
+        self._lock = threading.Lock()
+
+    def through(self, df: DataFrame, layer: str, table: str, rules: Mapping[str, str | Column]) -> DataFrame:
+        """``df``, with the rows that pass each rule counted when it is written."""
+        seen = Observation()
+        passed = [F.count_if(rule if isinstance(rule, Column) else F.expr(rule)).alias(name) for name, rule in rules.items()]
+        with self._lock:
+            self._seen.append((layer, table, list(rules), seen))
+        return df.observe(seen, F.count(F.lit(1)).alias(READ), *passed)
+
+    def written(self, layer: str, table: str, rows: int) -> None:
+        with self._lock:
+            self._written.append((layer, table, rows))
+
+    def rows(self) -> list[tuple[str, str, str, int, int]]:
+        """(layer, table, rule, rows in, rows passing); waits for the writes that have not ended."""
+        found = []
+        for layer, table, rules, seen in self._seen:
+            counts = seen.get
+            found += [(layer, table, rule, counts[READ], counts[rule]) for rule in rules]
+        found += [(layer, table, WRITTEN, rows, rows) for layer, table, rows in self._written]
+        return sorted(found)
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(self.rows(), SCHEMA)

@@ -8,8 +8,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
+from bodega.operators.quality import StepCounts
 from bodega.plans import gold, ingest, silver
-from bodega.schemas import CLUSTERING, TABLES
 from bodega.session import each, materialise
 from bodega.sinks.warehouse import Warehouse
 from bodega.sources.calendar import days_between
@@ -21,18 +21,25 @@ class PartialIngest(RuntimeError):
 
 @dataclass
 class Run:
-    """When the data is looked at, and how many rows each table got."""
+    """When the data is looked at, how many rows each table got, and how many each step let through."""
 
     as_of: dt.date
     run_ts: dt.datetime
     rows: dict[str, int] = field(default_factory=dict)
+    counts: StepCounts = field(default_factory=StepCounts)
+
+    def wrote(self, table: str, rows: int) -> None:
+        self.rows[table] = rows
+        self.counts.written(*table.split("."), rows)
 
 
 def to_bronze(
     warehouse: Warehouse, read: ingest.Reader, tables: Iterable[str], run: Run, allow_partial: bool = False
 ) -> list[ingest.Loaded]:
     results = ingest.load_all(warehouse, read, tables, run.run_ts)
-    run.rows.update({f"bronze.{result.table}": result.rows for result in results if result.ok})
+    for result in results:
+        if result.ok:
+            run.wrote(f"bronze.{result.table}", result.rows)
     outcome = ingest.status(results)
     if outcome != "SUCCESS" and not allow_partial:
         failed = "; ".join(f"{result.table}: {result.error}" for result in results if not result.ok)
@@ -43,16 +50,16 @@ def to_bronze(
 def to_silver(warehouse: Warehouse, run: Run) -> None:
     bronze = {name: warehouse.read(f"bronze.{name}") for name in silver.CHECKS}
     datasets = {
-        "ventas_clean": silver.ventas(bronze["ventas"]),
-        "detalle_ventas_clean": silver.detalle_ventas(bronze["detalle_ventas"]),
-        "clientes_clean": silver.clientes(bronze["clientes"], run.as_of),
-        "productos_clean": silver.productos(bronze["productos"]),
-        "proveedores_clean": silver.proveedores(bronze["proveedores"]),
-        "inventario_clean": silver.inventario(bronze["inventario"], run.as_of),
+        "ventas_clean": silver.ventas(bronze["ventas"], run.counts),
+        "detalle_ventas_clean": silver.detalle_ventas(bronze["detalle_ventas"], run.counts),
+        "clientes_clean": silver.clientes(bronze["clientes"], run.as_of, run.counts),
+        "productos_clean": silver.productos(bronze["productos"], run.counts),
+        "proveedores_clean": silver.proveedores(bronze["proveedores"], run.counts),
+        "inventario_clean": silver.inventario(bronze["inventario"], run.as_of, run.counts),
     }
 
     def store(name: str) -> None:
-        run.rows[f"silver.{name}"] = warehouse.overwrite(f"silver.{name}", datasets[name], run.run_ts)
+        run.wrote(f"silver.{name}", warehouse.overwrite(f"silver.{name}", datasets[name], run.run_ts))
 
     each(store, datasets)
 
@@ -63,7 +70,7 @@ def to_gold(warehouse: Warehouse, run: Run) -> None:
     clean = {name: warehouse.read(f"silver.{name}_clean") for name in names}
 
     def store(name: str, df: DataFrame) -> None:
-        run.rows[f"gold.{name}"] = warehouse.overwrite(f"gold.{name}", df)
+        run.wrote(f"gold.{name}", warehouse.overwrite(f"gold.{name}", df))
 
     def dimensions() -> None:
         days = days_between(warehouse.spark, gold.CALENDAR_START, gold.CALENDAR_END)
@@ -94,13 +101,6 @@ def to_gold(warehouse: Warehouse, run: Run) -> None:
     each(lambda part: part(), (sales, products, stock, dimensions))
 
 
-def optimise(warehouse: Warehouse, tables: Iterable[str] | None = None) -> None:
-    """Cluster the cleaned and gold tables on their declared columns. One rewrite also evens out file sizes."""
-    chosen = [key for key, spec in TABLES.items() if spec.name in CLUSTERING] if tables is None else tables
-    for table in chosen:
-        warehouse.cluster(table)
-
-
 def run(
     warehouse: Warehouse,
     read: ingest.Reader,
@@ -108,14 +108,11 @@ def run(
     as_of: dt.date,
     run_ts: dt.datetime,
     allow_partial: bool = False,
-    cluster: bool = False,
 ) -> Run:
-    """Refresh every table. ``cluster`` adds the layout pass, which pays off on tables of many files."""
+    """Refresh every table."""
     this = Run(as_of, run_ts)
     warehouse.create()
     to_bronze(warehouse, read, tables, this, allow_partial)
     to_silver(warehouse, this)
     to_gold(warehouse, this)
-    if cluster:
-        optimise(warehouse)
     return this

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bodega.functions import rules
+from bodega.operators import quality
 from bodega.operators.dedup import one_per_key
 from bodega.schemas import SYNC_STAMP, TRANSFORM_STAMP, conform, spec_of
 
@@ -46,12 +47,20 @@ def all_checks(table: str) -> Column:
     return F.expr(" AND ".join(f"({check})" for check in CHECKS[table].values()))
 
 
-def accepted(bronze: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """Rows passing the checks of ``table``, one per id, reduced to ``columns``."""
-    valid = bronze.filter(all_checks(table))
+def accepted(
+    bronze: DataFrame, table: str, columns: Sequence[str], counts: quality.StepCounts | None = None
+) -> DataFrame:
+    """Rows passing the checks of ``table``, one per id, reduced to ``columns``.
+
+    ``counts`` gets the rows of every check, of all together, and those left after the dedup.
+    """
     newest_by = SYNC_STAMP if SYNC_STAMP in bronze.columns else None
-    kept = [*columns, newest_by] if newest_by else list(columns)
-    return one_per_key(valid.select(*kept), ["id"], newest_by).select(*columns)
+    rows = bronze.select(*columns, newest_by) if newest_by else bronze.select(*columns)
+    valid = all_checks(table)
+    if counts:
+        rows = counts.through(rows, "silver", table, {**CHECKS[table], quality.ALL_CHECKS: valid})
+    unique = one_per_key(rows.filter(valid), ["id"], newest_by).select(*columns)
+    return counts.through(unique, "silver", table, {quality.UNIQUE: F.lit(True)}) if counts else unique
 
 
 def _finish(df: DataFrame, table: str) -> DataFrame:
@@ -60,7 +69,7 @@ def _finish(df: DataFrame, table: str) -> DataFrame:
     return conform(df.select(*kept), f"silver.{table}", without=(TRANSFORM_STAMP,))
 
 
-def ventas(bronze: DataFrame) -> DataFrame:
+def ventas(bronze: DataFrame, counts: quality.StepCounts | None = None) -> DataFrame:
     columns = ["id", "fecha_hora", "cliente_id", "sucursal_id", "total", "estatus", "metodo_pago"]
     renames = {"id": "venta_id", "fecha_hora": "fecha", "estatus": "estado"}
     moment = F.col("fecha")
@@ -71,26 +80,34 @@ def ventas(bronze: DataFrame) -> DataFrame:
         "es_fin_semana": rules.is_weekend(moment),
         "periodo_dia": rules.day_part(moment),
     }
-    sales = accepted(bronze, "ventas", columns).withColumnsRenamed(renames)
+    sales = accepted(bronze, "ventas", columns, counts).withColumnsRenamed(renames)
     return _finish(sales.withColumns(parts), "ventas_clean")
 
 
+def reconciles() -> Column:
+    return F.abs(F.col("subtotal") - F.col("cantidad") * F.col("precio_unitario")) < RECONCILIATION_LIMIT
+
+
 def reconciled(lines: DataFrame) -> DataFrame:
     """Lines whose subtotal agrees with quantity times price. Applied after dedup: the order decides
     which copy of a line is judged."""
-    gap = F.abs(F.col("subtotal") - F.col("cantidad") * F.col("precio_unitario"))
-    return lines.filter(gap < RECONCILIATION_LIMIT)
+    return lines.filter(reconciles())
 
 
-def detalle_ventas(bronze: DataFrame) -> DataFrame:
+def detalle_ventas(bronze: DataFrame, counts: quality.StepCounts | None = None) -> DataFrame:
     columns = ["id", "venta_id", "producto_id", "cantidad", "precio_unitario", "subtotal"]
-    lines = reconciled(accepted(bronze, "detalle_ventas", columns))
+    lines = accepted(bronze, "detalle_ventas", columns, counts)
+    if counts:
+        lines = counts.through(lines, "silver", "detalle_ventas", {quality.RECONCILED: reconciles()})
+    lines = reconciled(lines)
     return _finish(lines.withColumnRenamed("id", "detalle_id"), "detalle_ventas_clean")
 
 
-def clientes(bronze: DataFrame, as_of: dt.date) -> DataFrame:
+def clientes(
+    bronze: DataFrame, as_of: dt.date, counts: quality.StepCounts | None = None
+) -> DataFrame:
     columns = ["id", "nombre", "email", "telefono", "ciudad", "fecha_registro", "tipo_cliente"]
-    rows = accepted(bronze, "clientes", columns)
+    rows = accepted(bronze, "clientes", columns, counts)
     aged = rows.withColumn("antiguedad_dias", rules.days_since(F.col("fecha_registro"), as_of))
     labelled = aged.withColumns(
         {
@@ -103,16 +120,16 @@ def clientes(bronze: DataFrame, as_of: dt.date) -> DataFrame:
     )
 
 
-def productos(bronze: DataFrame) -> DataFrame:
+def productos(bronze: DataFrame, counts: quality.StepCounts | None = None) -> DataFrame:
     """The stored margin is rounded to two places; everything in gold starts from that rounded value."""
     renames = {"id": "producto_id", "precio_venta": "precio", "precio_compra": "costo"}
-    rows = accepted(bronze, "productos", ["nombre", *renames]).withColumnsRenamed(renames)
+    rows = accepted(bronze, "productos", ["nombre", *renames], counts).withColumnsRenamed(renames)
     margin = rules.margin_percent(F.col("precio"), F.col("costo"))
     constants = {name: F.lit(value) for name, value in UNCLASSIFIED.items()}
     return _finish(rows.withColumns({"margen": margin, **constants}), "productos_clean")
 
 
-def proveedores(bronze: DataFrame) -> DataFrame:
+def proveedores(bronze: DataFrame, counts: quality.StepCounts | None = None) -> DataFrame:
     renames = {
         "id": "proveedor_id",
         "nombre_empresa": "nombre",
@@ -120,13 +137,15 @@ def proveedores(bronze: DataFrame) -> DataFrame:
         "telefono_principal": "telefono",
         "email_principal": "email",
     }
-    rows = accepted(bronze, "proveedores", [*renames, "ciudad"])
+    rows = accepted(bronze, "proveedores", [*renames, "ciudad"], counts)
     return _finish(rows.withColumnsRenamed(renames), "proveedores_clean")
 
 
-def inventario(bronze: DataFrame, as_of: dt.date) -> DataFrame:
+def inventario(
+    bronze: DataFrame, as_of: dt.date, counts: quality.StepCounts | None = None
+) -> DataFrame:
     columns = ["id", "producto_id", "sucursal_id", "cantidad_actual", "fecha_ultimo_conteo", "fecha_caducidad"]
-    rows = accepted(bronze, "inventario", columns)
+    rows = accepted(bronze, "inventario", columns, counts)
     dated = rows.withColumn("dias_hasta_caducidad", rules.days_to_expiry(F.col("fecha_caducidad"), as_of))
     labelled = dated.withColumns(
         {

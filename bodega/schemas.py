@@ -1,4 +1,4 @@
-"""The declared tables: columns, types, partition columns and clustering columns.
+"""The declared tables: columns, types and partition columns.
 
 Two rules widen the source types, because the declared ones overflow on large tables: every
 identifier is BIGINT from bronze on, and gold sums are DECIMAL(28,2).
@@ -130,25 +130,6 @@ PARTITIONS = {
     "fact_kpis_diarios": ("fecha_key",),
     "fact_inventario": ("sucursal_key",),
 }
-CLUSTERING = {
-    "ventas_clean": ("cliente_id", "sucursal_id"),
-    "detalle_ventas_clean": ("venta_id", "producto_id"),
-    "clientes_clean": ("ciudad", "nivel_credito"),
-    "productos_clean": ("categoria", "proveedor_id"),
-    "proveedores_clean": ("ciudad",),
-    "inventario_clean": ("producto_id", "estado_caducidad"),
-    "dim_tiempo": ("fecha_key", "anio", "mes"),
-    "dim_clientes": ("cliente_key", "ciudad"),
-    "dim_productos": ("producto_key", "categoria"),
-    "dim_sucursales": ("sucursal_key", "ciudad"),
-    "fact_ventas": ("sucursal_key", "cliente_key"),
-    "fact_kpis_diarios": ("sucursal_key",),
-    "fact_analisis_clientes": ("cliente_key",),
-    "fact_rendimiento_productos": ("producto_id",),
-    "fact_inventario": ("producto_key", "estado_caducidad"),
-    "fact_kpis_inventario": ("stock_total",),
-    "fact_alertas_inventario": ("prioridad", "producto_key"),
-}
 
 
 @dataclass(frozen=True)
@@ -157,7 +138,6 @@ class TableSpec:
     name: str
     columns: tuple[tuple[str, str], ...]
     partition: tuple[str, ...] = ()
-    clustering: tuple[str, ...] = ()
 
     @property
     def key(self) -> str:
@@ -187,7 +167,7 @@ def _specs():
     for layer, tables in (("bronze", BRONZE), ("silver", SILVER), ("gold", GOLD)):
         for name, ddl in tables.items():
             columns = [_widened(*column) for column in _declared(ddl)] + stamps[layer]
-            yield TableSpec(layer, name, tuple(columns), PARTITIONS.get(name, ()), CLUSTERING.get(name, ()))
+            yield TableSpec(layer, name, tuple(columns), PARTITIONS.get(name, ()))
 
 
 TABLES: dict[str, TableSpec] = {spec.key: spec for spec in _specs()}

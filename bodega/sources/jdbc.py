@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from itertools import pairwise
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +28,22 @@ MYSQL_TABLES = {
 DRIVERS = {"postgresql": "org.postgresql.Driver", "mysql": "com.mysql.cj.jdbc.Driver"}
 
 
+def _literal(value: object) -> str:
+    return str(value) if isinstance(value, int) else "'" + str(value).replace("'", "''") + "'"
+
+
+def slices_between(column: str, bounds: Sequence[object]) -> list[str]:
+    """Conditions that part a table at ``bounds``, each row in exactly one; rows without a value go to the first.
+
+    The outer slices are open, so rows that arrive after the bounds were asked for belong somewhere.
+    """
+    cuts = [_literal(bound) for bound in sorted(set(bounds))]
+    if not cuts:
+        return ["1 = 1"]
+    inner = [f"{column} >= {low} AND {column} < {high}" for low, high in pairwise(cuts)]
+    return [f"{column} < {cuts[0]} OR {column} IS NULL", *inner, f"{column} >= {cuts[-1]}"]
+
+
 @dataclass(frozen=True)
 class JdbcSource:
     """A database and the names its tables have there. Credentials come from the caller's secret store."""
@@ -36,34 +53,35 @@ class JdbcSource:
     password: str = field(repr=False)
     tables: Mapping[str, str]
     split_column: str = "id"
-    partitions: int = 64
+    slice_rows: int = 1_000_000
     fetch_size: int = 10_000
 
-    def _reader(self, spark: SparkSession):
+    @property
+    def _options(self) -> dict[str, str]:
         kind = self.url.split(":")[1]
-        options = {"url": self.url, "user": self.user, "password": self.password, "fetchsize": self.fetch_size}
-        if kind in DRIVERS:
-            options["driver"] = DRIVERS[kind]
-        return spark.read.format("jdbc").options(**options)
+        driver = {"driver": DRIVERS[kind]} if kind in DRIVERS else {}
+        return {"user": self.user, "password": self.password, "fetchsize": str(self.fetch_size), **driver}
 
     def query(self, spark: SparkSession, sql: str) -> DataFrame:
         """The rows of a statement that the database itself executes."""
-        return self._reader(spark).option("query", sql).load()
+        return spark.read.format("jdbc").options(url=self.url, **self._options).option("query", sql).load()
 
-    def read(self, spark: SparkSession, table: str) -> DataFrame:
-        """The whole source table for a bronze table, in parallel slices of ``split_column``.
+    def bounds(self, spark: SparkSession, table: str) -> list[object]:
+        """Where slices of about ``slice_rows`` rows begin, but for the first; the database counts its own rows.
 
-        One small statement asks the database for the range of the split column. Rows outside the slices,
-        NULLs included, land in the first or last slice, so nothing is lost when rows arrive in between.
+        The number of slices follows from the number of rows, and equal numbers of rows lie between the bounds however
+        unevenly the values of the split column are spread.
         """
-        name = self.tables[table]
-        whole = self._reader(spark).option("dbtable", name)
-        column = self.split_column
-        bounds = self.query(spark, f"SELECT MIN({column}) AS low, MAX({column}) AS high FROM {name}").first()
-        if bounds is None or bounds[0] is None or bounds[0] == bounds[1]:
-            return whole.load()
-        low, high = int(bounds[0]), int(bounds[1])
-        slices = max(1, min(self.partitions, high - low))
-        return whole.options(
-            partitionColumn=column, lowerBound=low, upperBound=high, numPartitions=slices
-        ).load()
+        name, column = self.tables[table], self.split_column
+        rows = self.query(spark, f"SELECT COUNT(*) AS row_count FROM {name}").first()[0]
+        number = -(-rows // self.slice_rows)
+        if number < 2:
+            return []
+        tiles = f"SELECT {column}, NTILE({number}) OVER (ORDER BY {column}) AS tile FROM {name} WHERE {column} IS NOT NULL"
+        begins = f"SELECT MIN({column}) AS begins FROM ({tiles}) AS tiles WHERE tile > 1 GROUP BY tile"
+        return [row[0] for row in self.query(spark, begins).collect()]
+
+    def read(self, spark: SparkSession, table: str) -> DataFrame:
+        """The whole source table for a bronze table, in parallel slices of about equally many rows."""
+        conditions = slices_between(self.split_column, self.bounds(spark, table))
+        return spark.read.jdbc(self.url, self.tables[table], predicates=conditions, properties=self._options)

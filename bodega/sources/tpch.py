@@ -96,6 +96,33 @@ COLUMNS: dict[str, dict[str, str]] = {
         "fecha_caducidad": "case when (p_partkey + n_nationkey) % 11 = 0 then null else"
         f" cast({_TODAY} + cast((p_partkey * 7 + n_nationkey * 3) % 150 - 5 as int) * INTERVAL '1' DAY as date) end",
     },
+    "empleados": {
+        "id": "s_suppkey",
+        "codigo_empleado": "concat('E', cast(s_suppkey as varchar(20)))",
+        "nombre": "s_name",
+        "puede_vender": "s_suppkey % 3 <> 0",
+        "salario": "cast(abs(s_acctbal) as decimal(10,2))",
+        "sucursal_id": f"s_suppkey % {BRANCHES}",
+        "activo": "s_acctbal > 0",
+    },
+    "movimientos_inventario": {
+        "id": "l_orderkey * 10 + l_linenumber",
+        "numero_movimiento": "concat('M', cast(l_orderkey as varchar(20)))",
+        "fecha_movimiento": "cast(l_shipdate as timestamp)",
+        "tipo_movimiento": "case l_returnflag when 'R' then 'devolucion' else 'salida' end",
+        "producto_id": "l_partkey",
+        "sucursal_id": f"l_orderkey % {BRANCHES}",
+        "cantidad": "cast(l_quantity as int)",
+    },
+    "recepciones": {
+        "id": "l_orderkey * 1000 + l_suppkey % 1000",
+        "fecha_recepcion": "cast(first_ship as date)",
+        "orden_compra_id": "l_orderkey * 1000 + l_suppkey % 1000",
+        "proveedor_id": "l_suppkey",
+        "sucursal_id": f"l_orderkey % {BRANCHES}",
+        "estado": "last_status",
+        "valor_recibido": "cast(cents * 0.01 as decimal(15,2))",
+    },
     "ordenes_compra": {
         "id": "l_orderkey * 1000 + l_suppkey % 1000",
         "fecha_orden": "cast(first_ship as date)",
@@ -137,6 +164,10 @@ class TpchTables:
             return customer.join(nation, customer.c_nationkey == nation.n_nationkey)
         if table in ("productos", "productos_erp"):
             return self.raw("part")
+        if table == "empleados":
+            return self.raw("supplier")
+        if table == "movimientos_inventario":
+            return self.raw("lineitem")
         if table == "proveedores":
             supplier, nation = self.raw("supplier"), self.raw("nation")
             return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
@@ -147,7 +178,7 @@ class TpchTables:
             # Each product is stocked in every fifth branch: five lots per product, no join needed.
             branch = F.explode(F.expr(f"sequence(p_partkey % 5, {BRANCHES - 1}, 5)"))
             return self.raw("part").withColumn("n_nationkey", branch)
-        if table == "ordenes_compra":
+        if table in ("ordenes_compra", "recepciones"):
             return (
                 self.raw("lineitem")
                 .groupBy("l_orderkey", "l_suppkey")

@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import sqlite3
+
+import pytest
+
 from bodega.schemas import BRONZE
-from bodega.sources.jdbc import MYSQL_TABLES, POSTGRES_TABLES, JdbcSource
+from bodega.sources.jdbc import MYSQL_TABLES, POSTGRES_TABLES, JdbcSource, slices_between
 
 
 class Recorder:
-    """Stands in for ``spark.read`` and answers the range statement."""
+    """Stands in for ``spark.read``; statements are answered by a table in memory."""
 
-    def __init__(self, bounds):
-        self.bounds, self.loads = bounds, []
+    def __init__(self, ids):
+        self.ids, self.loads = ids, []
+        self.database = sqlite3.connect(":memory:")
+        for name in set(POSTGRES_TABLES.values()):
+            self.database.execute(f"CREATE TABLE {name} (id INTEGER)")
+            self.database.executemany(f"INSERT INTO {name} VALUES (?)", [(i,) for i in ids])
 
     @property
     def read(self):
@@ -34,39 +42,66 @@ class Reader:
         self.recorder.loads.append(self.given)
         return self
 
+    def jdbc(self, url, table, predicates, properties):
+        self.recorder.loads.append({"url": url, "dbtable": table, "predicates": predicates, **properties})
+        return self
+
+    def collect(self):
+        return self.recorder.database.execute(self.given["query"]).fetchall()
+
     def first(self):
-        return self.recorder.bounds
+        return self.collect()[0]
 
 
 def source(**changes):
     return JdbcSource("jdbc:postgresql://db/shop", "reader", "secret", POSTGRES_TABLES, **changes)
 
 
-def test_scan_is_split_over_the_key_range():
-    spark = Recorder((1, 1_000_000))
-    source(partitions=16).read(spark, "ventas")
-    bounds, scan = spark.loads
-    assert bounds["query"] == "SELECT MIN(id) AS low, MAX(id) AS high FROM ventas_recientes"
+def rows_by_slice(spark, conditions, table="ventas_recientes"):
+    return [spark.database.execute(f"SELECT COUNT(*) FROM {table} WHERE {c}").fetchone()[0] for c in conditions]
+
+
+@pytest.mark.parametrize(
+    "ids",
+    [
+        list(range(1, 1001)),
+        [*range(900), *(10**12 + 7 * i for i in range(100))],
+        [2**i for i in range(60)] * 16 + list(range(40)),
+        [*range(700), *[None] * 300],
+    ],
+    ids=["even", "far apart", "doubling, repeated", "nulls"],
+)
+def test_slices_have_about_equally_many_rows_and_lose_none(ids):
+    spark = Recorder(ids)
+    source(slice_rows=100).read(spark, "ventas")
+    counted, asked, scan = spark.loads
+    assert counted["query"] == "SELECT COUNT(*) AS row_count FROM ventas_recientes"
+    assert "NTILE(10) OVER (ORDER BY id)" in asked["query"]
     assert scan["dbtable"] == "ventas_recientes" and scan["driver"] == "org.postgresql.Driver"
-    assert (scan["partitionColumn"], scan["lowerBound"], scan["upperBound"]) == ("id", 1, 1_000_000)
-    assert scan["numPartitions"] == 16 and scan["fetchsize"] == 10_000
+    assert scan["fetchsize"] == "10000"
+    counts = rows_by_slice(spark, scan["predicates"])
+    assert sum(counts) == len(ids)
+    nulls = ids.count(None)
+    assert counts[0] <= 100 + nulls and max(counts[1:]) <= 116
 
 
-def test_empty_or_single_row_source_is_read_whole():
-    for bounds in (None, (None, None), (5, 5)):
-        spark = Recorder(bounds)
-        source().read(spark, "clientes")
-        assert "partitionColumn" not in spark.loads[-1]
+def test_number_of_slices_follows_from_the_rows():
+    for rows, number in ((0, 1), (1, 1), (100, 1), (101, 2), (100_000, 1000)):
+        spark = Recorder(range(rows))
+        source(slice_rows=100).read(spark, "clientes")
+        assert len(spark.loads[-1]["predicates"]) == number
 
 
-def test_no_more_slices_than_keys():
-    spark = Recorder((1, 4))
-    source(partitions=64).read(spark, "sucursales")
-    assert spark.loads[-1]["numPartitions"] == 3
+def test_text_bounds_are_quoted():
+    assert slices_between("code", ["b", "o'a", "b"]) == [
+        "code < 'b' OR code IS NULL",
+        "code >= 'b' AND code < 'o''a'",
+        "code >= 'o''a'",
+    ]
 
 
 def test_statement_runs_in_the_database():
-    spark = Recorder(None)
+    spark = Recorder([])
     JdbcSource("jdbc:mysql://db/erp", "u", "p", MYSQL_TABLES).query(spark, "SELECT COUNT(*) FROM proveedores_completo")
     (load,) = spark.loads
     assert load["query"].startswith("SELECT COUNT(*)") and "dbtable" not in load

@@ -27,7 +27,23 @@ def test_every_table_is_filled(lake):
     assert run.rows["gold.dim_tiempo"] == 731
     for table, rows in run.rows.items():
         assert warehouse.read(table).count() == rows, table
-    assert len(run.rows) == 9 + 6 + 11
+    assert len(run.rows) == 12 + 6 + 11
+
+
+def test_rows_of_every_step_are_counted_during_the_writes(lake, spark):
+    warehouse, run = lake
+    counts = {(row.capa, row.tabla, row.regla): (row.filas_entrada, row.filas_validas) for row in run.counts.report(spark).collect()}
+    lines = warehouse.read("bronze.detalle_ventas")
+    valid = lines.filter("cantidad > 0 AND precio_unitario > 0 AND subtotal > 0")
+    unique = valid.select("id").distinct().count()
+    assert counts["silver", "detalle_ventas", "todas"] == (lines.count(), valid.count())
+    assert counts["silver", "detalle_ventas", "unicas"] == (unique, unique)
+    kept = warehouse.read("silver.detalle_ventas_clean").count()
+    assert counts["silver", "detalle_ventas", "conciliadas"] == (unique, kept) and kept < unique
+    for table, rows in run.rows.items():
+        assert counts[(*table.split("."), "escritas")] == (rows, rows)
+    assert counts["bronze", "productos_erp", "escritas"][0] == warehouse.read("bronze.productos_erp").count()
+    assert len(counts) == 12 + 12 + 6 + 6 + 1 + 6 + 11
 
 
 def test_day_parts_add_up_to_the_total(lake):
@@ -52,7 +68,7 @@ def test_a_second_run_gives_the_same_tables(lake, spark):
     warehouse, run = lake
     tables = ["gold.fact_kpis_diarios", "gold.fact_analisis_clientes", "silver.detalle_ventas_clean"]
     before = {table: sorted(map(repr, warehouse.read(table).collect())) for table in tables}
-    again = pipeline.run(warehouse, TpchTables(spark, SMALL).source, COLUMNS, AS_OF, RUN_TS, cluster=True)
+    again = pipeline.run(warehouse, TpchTables(spark, SMALL).source, COLUMNS, AS_OF, RUN_TS)
     assert again.rows == run.rows
     assert {table: sorted(map(repr, warehouse.read(table).collect())) for table in tables} == before
 

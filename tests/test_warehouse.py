@@ -4,13 +4,14 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import RUN_TS
+from conftest import AS_OF, RUN_TS, SMALL
 from pyspark.sql import functions as F
 
-from bodega.operators.layout import _bucket, _interleaved, morton_key
 from bodega.operators.upsert import AmbiguousUpdate
 from bodega.schemas import GOLD, SILVER, TABLES, conform, schema_rows
-from bodega.sinks.share import publish, shared
+from bodega.plans import pipeline
+from bodega.sinks.share import ContentMismatch, publish, shared
+from bodega.sources.tpch import COLUMNS, TpchTables
 
 STOCK = "silver.inventario_clean"
 KPIS = "gold.fact_kpis_diarios"
@@ -43,8 +44,25 @@ def quantities(warehouse):
     return sorted(map(tuple, rows), key=repr)
 
 
-def files(warehouse, table):
-    return warehouse.spark.table(warehouse.name(table)).select("_metadata.file_path").distinct().count()
+def rows_by_file(warehouse, table):
+    """The rows of the files behind a table."""
+    return warehouse.spark.table(warehouse._files(warehouse.spec(table))).withColumn("file", F.col("_metadata.file_path"))
+
+
+class Watching:
+    """A session that runs ``check`` after every statement."""
+
+    def __init__(self, spark, check):
+        self._spark, self._check, self.statements = spark, check, []
+
+    def __getattr__(self, name):
+        return getattr(self._spark, name)
+
+    def sql(self, text):
+        result = self._spark.sql(text)
+        self.statements.append(text)
+        self._check()
+        return result
 
 
 def test_declares_all_tables(new_warehouse):
@@ -135,18 +153,18 @@ def test_upsert_of_a_whole_table(new_warehouse, stock):
     assert quantities(warehouse) == [(1, 30, 9), (2, 20, 6), (3, 10, 1)]
 
 
-def test_upsert_rewrites_only_partitions_with_updates(new_warehouse, stock):
+def test_upsert_rewrites_only_partitions_with_updates(new_warehouse, stock, spark):
     warehouse = new_warehouse()
     warehouse.overwrite(STOCK, stock([(1, 10, 5), (2, 20, 6), (3, 20, 7), (4, None, 8)]))
 
-    def files_of(branch):
-        rows = warehouse.spark.table(warehouse.name(STOCK)).filter(F.col("sucursal_id").eqNullSafe(F.lit(branch)))
-        return {row[0] for row in rows.select("_metadata.file_path").collect()}
-
-    untouched = files_of(10)
+    written = rows_by_file(warehouse, STOCK).select("file").distinct()
+    before = {row.file for row in written.collect()}
     keys = ["sucursal_id", "inventario_id"]
     warehouse.upsert(STOCK, stock([(2, 20, 60), (5, 50, 1), (4, None, 80)]), keys)
-    assert files_of(10) == untouched
+    added = rows_by_file(warehouse, STOCK).filter(~F.col("file").isin(*before))
+    assert {row.sucursal_id for row in added.select("sucursal_id").distinct().collect()} == {20, 50, None}
+    live = spark.table(f"{warehouse._files(warehouse.spec(STOCK))}__live").groupBy("_version").count()
+    assert sorted(row["count"] for row in live.collect()) == [1, 3], "only branch 10 still reads its first files"
     # a NULL key matches nothing, so the lot without a branch is added next to the old one
     assert quantities(warehouse) == sorted(
         [(1, 10, 5), (2, 20, 60), (3, 20, 7), (4, None, 8), (4, None, 80), (5, 50, 1)], key=repr
@@ -155,6 +173,95 @@ def test_upsert_rewrites_only_partitions_with_updates(new_warehouse, stock):
     assert (2, 20, 61) in quantities(warehouse) and len(quantities(warehouse)) == 6
 
 
+def test_a_reader_sees_the_whole_old_or_new_table_at_every_step(new_warehouse, stock, spark):
+    warehouse = new_warehouse()
+    states = [[(1, 10, 5), (2, None, 6)], [(1, 10, 7), (3, 30, 8)], [(1, 10, 9), (3, 30, 8), (4, 40, 1)]]
+    warehouse.overwrite(STOCK, stock(states[0]))
+    seen = []
+
+    def check():
+        rows = spark.table(warehouse.name(STOCK)).select("inventario_id", "sucursal_id", "cantidad").collect()
+        seen.append(sorted(map(tuple, rows), key=repr))
+
+    keys = ["sucursal_id", "inventario_id"]
+    warehouse.spark = Watching(spark, check)
+    warehouse.overwrite(STOCK, stock(states[1]))
+    warehouse.upsert(STOCK, stock([(1, 10, 9), (4, 40, 1)]), keys)
+    warehouse.upsert(STOCK, stock([(4, 40, 2)]), keys)
+    states.append([(1, 10, 9), (3, 30, 8), (4, 40, 2)])
+    assert [state for k, state in enumerate(seen) if state not in seen[:k]] == states
+    order = [states.index(state) for state in seen]
+    assert order == sorted(order)
+
+
+def test_old_readers_keep_their_rows(new_warehouse, stock):
+    warehouse = new_warehouse()
+    warehouse.overwrite(STOCK, stock([(1, 10, 5)]))
+    before = warehouse.read(STOCK)
+    before.count()
+    warehouse.overwrite(STOCK, stock([(1, 10, 6)]))
+    assert before.first().cantidad == 5 and quantities(warehouse) == [(1, 10, 6)]
+
+
+def test_statements_of_an_upsert_do_not_grow_with_partitions(new_warehouse, stock, spark):
+    numbers = []
+    for branches in (2, 40):
+        warehouse = new_warehouse()
+        warehouse.overwrite(STOCK, stock([(n, n, 1) for n in range(50)]))
+        warehouse.spark = Watching(spark, lambda: None)
+        warehouse.upsert(STOCK, stock([(n, n, 2) for n in range(branches)]), ["sucursal_id", "inventario_id"])
+        numbers.append(len(warehouse.spark.statements))
+        assert sum(q == 2 for _, _, q in quantities(warehouse)) == branches
+    assert numbers[0] == numbers[1]
+
+
+def test_upsert_skips_folders_without_updates_while_it_runs(new_warehouse, stock):
+    warehouse = new_warehouse()
+    warehouse.overwrite(STOCK, stock([(n, n, 1) for n in range(20)]))
+    spec = warehouse.spec(STOCK)
+    touched = warehouse._touched(spec, warehouse.read(STOCK), stock([(3, 3, 2)]))
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+    assert [row.inventario_id for row in touched.collect()] == [3]
+    warehouse.upsert(STOCK, stock([(3, 3, 2)]), ["sucursal_id", "inventario_id"])
+    plan = warehouse.read(STOCK)._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan, "folders of versions that are out of date are skipped too"
+
+
+def test_a_failed_upsert_leaves_nothing_behind_for_the_next(new_warehouse, stock, monkeypatch):
+    warehouse = new_warehouse()
+    warehouse.overwrite(STOCK, stock([(1, 10, 5), (2, 20, 6)]))
+    keys = ["sucursal_id", "inventario_id"]
+    with monkeypatch.context() as broken:
+        broken.setattr(warehouse, "_table", lambda *_: (_ for _ in ()).throw(OSError("catalog is down")))
+        with pytest.raises(OSError, match="catalog is down"):
+            warehouse.upsert(STOCK, stock([(1, 10, 50), (9, 90, 9)]), keys)
+    assert quantities(warehouse) == [(1, 10, 5), (2, 20, 6)]
+    warehouse.upsert(STOCK, stock([(2, 20, 60)]), keys)
+    assert quantities(warehouse) == [(1, 10, 5), (2, 20, 60)]
+
+
+def test_stored_types_are_the_declared_ones_after_a_refresh(new_warehouse, spark):
+    """All 29 tables, in the catalog and in the files, and what happens when one type is another."""
+    days = {"silver.ventas_clean": (), "gold.fact_ventas": (), "gold.fact_kpis_diarios": ()}
+    warehouse = new_warehouse(partitions=days)
+    run = pipeline.run(warehouse, TpchTables(spark, SMALL).source, COLUMNS, AS_OF, RUN_TS)
+    assert len(run.rows) == len(TABLES) == 29
+    assert warehouse.drift() == []
+    name, path = warehouse.name("bronze.sucursales"), warehouse._folder(warehouse.spec("bronze.sucursales"))
+    ddl = ", ".join(f"{c} {'STRING' if c == 'area_metros' else k}" for c, k in TABLES["bronze.sucursales"].columns)
+    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet LOCATION '{path}/other'")
+    assert warehouse.drift() == [("bronze.sucursales", "area_metros", "decimal(10,2)", "string")]
+    spark.sql(f"DROP TABLE {name}")
+    assert warehouse.drift() == [("bronze.sucursales", "", "table", None)]
+    warehouse.create()
+    warehouse.read("bronze.sucursales").withColumn("id", F.lit("1")).write.parquet(f"{path}/text")
+    spark.createDataFrame([("1",)], "id string").write.mode("overwrite").parquet(f"{path}/text")
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}/text'")
+    assert ("bronze.sucursales", "id", "bigint", "string") in warehouse.drift()
+
+
 def test_ambiguous_upsert_leaves_the_table_as_it_was(new_warehouse, stock):
     warehouse = new_warehouse()
     warehouse.overwrite(STOCK, stock([(1, 10, 5)]))
@@ -184,28 +291,6 @@ def lines_frame(spark, count, files):
     )
 
 
-def test_compaction_merges_files_and_keeps_rows(new_warehouse, spark):
-    warehouse = new_warehouse()
-    warehouse.overwrite(LINES, lines_frame(spark, 4000, 40), RUN_TS)
-    before = sorted(map(tuple, warehouse.read(LINES).collect()))
-    assert files(warehouse, LINES) == 40
-    warehouse.compact(LINES)
-    assert files(warehouse, LINES) == 1
-    assert sorted(map(tuple, warehouse.read(LINES).collect())) == before
-    assert spark.conf.get("spark.sql.files.openCostInBytes") != "0"
-
-
-def test_compaction_of_a_partitioned_table(new_warehouse, stock):
-    warehouse = new_warehouse()
-    rows = [(n, n % 3, n) for n in range(300)]
-    warehouse.overwrite(STOCK, stock(rows[:1]))
-    for part in range(1, 4):
-        warehouse.upsert(STOCK, stock(rows[part::3]), ["sucursal_id", "inventario_id"])
-    before = quantities(warehouse)
-    warehouse.compact(STOCK)
-    assert quantities(warehouse) == before and files(warehouse, STOCK) == 3
-
-
 def test_a_partition_that_holds_everything_is_written_by_several_tasks(new_warehouse, spark):
     ids = spark.range(0, 40_000, 1, 8)
     lots = ids.select(
@@ -225,10 +310,9 @@ def test_a_partition_that_holds_everything_is_written_by_several_tasks(new_wareh
         assert warehouse.overwrite(STOCK, lots) == 40_000
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    hot = spark.table(warehouse.name(STOCK)).filter("sucursal_id = 3").groupBy("_metadata.file_path").count()
+    hot = rows_by_file(warehouse, STOCK).filter("sucursal_id = 3").groupBy("file").count()
     assert hot.count() >= 4 and hot.agg(F.max("count")).first()[0] < 20_000
-    small = spark.table(warehouse.name(STOCK)).filter("sucursal_id = 5")
-    assert small.select("_metadata.file_path").distinct().count() == 1
+    assert rows_by_file(warehouse, STOCK).filter("sucursal_id = 5").select("file").distinct().count() == 1
 
 
 def test_measured_size_does_not_outlive_the_files(new_warehouse, spark, stock):
@@ -240,74 +324,16 @@ def test_measured_size_does_not_outlive_the_files(new_warehouse, spark, stock):
 
     warehouse = new_warehouse()
     warehouse.overwrite(LINES, lines_frame(spark, 10, 1), RUN_TS)
-    small = warehouse.size(LINES)
+    small = believed(warehouse, LINES)
     warehouse.overwrite(LINES, lines_frame(spark, 40_000, 4), RUN_TS)
     assert believed(warehouse, LINES) > 10 * small
     warehouse.overwrite(STOCK, stock([(1, 1, 1)]))
-    small = warehouse.size(STOCK)
+    small = believed(warehouse, STOCK)
     many = [(n, 1, n % 7) for n in range(20_000)]
     warehouse.upsert(STOCK, stock(many), ["sucursal_id", "inventario_id"])
     assert believed(warehouse, STOCK) > 5 * small
 
 
-def test_clustering_narrows_the_range_of_both_columns(new_warehouse, spark):
-    warehouse = new_warehouse()
-    warehouse.overwrite(LINES, lines_frame(spark, 40_000, 16), RUN_TS)
-    before = warehouse.read(LINES).agg(F.sum(F.xxhash64("*").cast("decimal(38,0)")), F.count("*")).first()
-
-    def average_span(column):
-        df = warehouse.spark.table(warehouse.name(LINES)).groupBy("_metadata.file_path")
-        return df.agg((F.max(column) - F.min(column)).alias("s")).agg(F.avg("s")).first()[0]
-
-    wide = {c: average_span(c) for c in ("venta_id", "producto_id")}
-    warehouse.cluster(LINES, file_bytes=warehouse.size(LINES) // 16)
-    after = warehouse.read(LINES).agg(F.sum(F.xxhash64("*").cast("decimal(38,0)")), F.count("*")).first()
-    assert after == before
-    assert files(warehouse, LINES) >= 12
-    for column, span in wide.items():
-        assert average_span(column) < span / 2, column
-
-
-def test_clustering_splits_a_value_that_fills_the_table(new_warehouse, spark):
-    warehouse = new_warehouse()
-    hot = lines_frame(spark, 40_000, 16).withColumns({"venta_id": F.lit(1), "producto_id": F.lit(1)})
-    warehouse.overwrite(LINES, hot, RUN_TS)
-    warehouse.cluster(LINES, file_bytes=warehouse.size(LINES) // 8)
-    counts = warehouse.spark.table(warehouse.name(LINES)).groupBy("_metadata.file_path").count()
-    sizes = [row["count"] for row in counts.collect()]
-    assert sum(sizes) == 40_000 and len(sizes) >= 6 and max(sizes) < 12_000
-
-
-def test_clustering_of_partitions_and_text(new_warehouse, stock):
-    warehouse = new_warehouse()
-    rows = [(n, n % 2, n % 50) for n in range(400)]
-    warehouse.overwrite(STOCK, stock(rows))
-    before = quantities(warehouse)
-    warehouse.cluster(STOCK)
-    assert quantities(warehouse) == before
-
-
-def test_bucket_counts_the_cuts_below(spark):
-    cuts = [1.0, 2.0, 4.0, 8.0]
-    df = spark.createDataFrame([(v,) for v in (0.0, 1.0, 1.5, 2.0, 7.9, 8.0, None)], "v double")
-    found = [row[0] for row in df.select(_bucket(F.col("v"), cuts)).collect()]
-    assert found == [0, 1, 1, 2, 3, 4, 4]
-
-
-def test_bits_are_interleaved(spark):
-    row = spark.range(1).select(_interleaved([F.lit(0b101), F.lit(0b011)], 3)).first()
-    assert row[0] == 0b100111
-
-
-def test_key_handles_text_dates_and_nulls(spark):
-    rows = [("NATION_%02d" % n, dt.date(2001, 1, 1) + dt.timedelta(days=n)) for n in range(20)] + [(None, None)]
-    df = spark.createDataFrame(rows, "s string, d date")
-    keyed = df.select("s", morton_key(df, ["s"], 3).alias("k")).filter("s is not null").orderBy("s")
-    keys = [row.k for row in keyed.collect()]
-    assert keys == sorted(keys) and len(set(keys)) == 8
-    assert df.select(morton_key(df, ["s", "d"], 2).alias("k")).filter("k is null").isEmpty()
-
-
 def test_share_holds_only_the_two_marts(new_warehouse, kpis, tmp_path, spark):
     warehouse = new_warehouse()
     warehouse.overwrite(KPIS, kpis([(dt.date(2001, 8, 1), 1, 10), (dt.date(2001, 8, 2), 1, 10)]))
@@ -325,3 +351,8 @@ def test_share_holds_only_the_two_marts(new_warehouse, kpis, tmp_path, spark):
     assert before.count() == 2, "who reads the first copy keeps it"
     with pytest.raises(LookupError):
         shared(spark, target, "gold.fact_ventas")
+    copy = spark.read.parquet(f"{target}/manifest").filter(F.col("tabla") == KPIS).orderBy(F.desc("publicado")).first().ruta
+    spark.read.parquet(copy).withColumn("numero_transacciones", F.lit(2).cast("long")).write.parquet(f"{copy}-other")
+    spark.read.parquet(f"{copy}-other").write.mode("overwrite").parquet(copy)
+    with pytest.raises(ContentMismatch):
+        shared(spark, target, KPIS)

@@ -2,13 +2,15 @@
 
 Pieces are what the vocabulary's pattern cuts a text into: contractions, letters, digits and other signs with one
 leading space, and white space. They are found for a whole slice of texts at once with array operations; every piece
-that a task has not met before is encoded by the library and kept. Ids equal those of the ``tokenizers`` file of the
-same vocabulary (``add_special_tokens=False``, names of special tokens in a text taken as ordinary text).
+that a task has not met before is encoded by the library and kept. Names of added tokens part a text before anything else
+and have their own id. Ids equal those of the ``tokenizers`` file of the same vocabulary (``add_special_tokens=False``).
 """
 
 from __future__ import annotations
 
 import base64
+import json
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -82,6 +84,10 @@ class Encoder:
         self._width = np.zeros(len(ranks) + 1, np.int64)
         for token, rank in ranks.items():
             self._width[rank] = len(token)
+        with open(public_tokenizers.path(f"{VOCABULARY}.json"), "rb") as file:
+            added = json.load(file)["added_tokens"]
+        self._added = {token["content"]: token["id"] for token in added}
+        self._name = re.compile(b"|".join(re.escape(name.encode()) for name in self._added)) if added else None
         self._forget()
 
     def _forget(self) -> None:
@@ -102,7 +108,8 @@ class Encoder:
         cuts = np.searchsorted(np.cumsum(self._width[ids]), ends) + 1
         counts[chained] = np.diff(np.concatenate([[0], cuts])) if len(chain) else 0
         for k in np.flatnonzero(~chained):
-            found[k] = self._library.encode_ordinary(pieces[k])
+            own = self._added.get(pieces[k])
+            found[k] = self._library.encode_ordinary(pieces[k]) if own is None else [own]
             counts[k] = len(found[k])
         all_ids = np.zeros(int(counts.sum()), np.uint16)
         at = np.cumsum(counts) - counts
@@ -111,6 +118,13 @@ class Encoder:
             all_ids[at[k] : at[k] + counts[k]] = found[k]
         return all_ids, counts
 
+    def _names(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Begin and end of every name of an added token."""
+        found = [match.span() for match in self._name.finditer(data.tobytes())] if self._name else []
+        spans = np.array(found, np.int64).reshape(-1, 2)
+        text = np.searchsorted(bounds, spans, "right")
+        return spans[text[:, 0] == np.searchsorted(bounds, spans[:, 1], "left")]
+
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, end to end and without end marks, and the bounds of each text."""
         if not len(data):
@@ -119,8 +133,14 @@ class Encoder:
         codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         before = np.zeros(len(data) + 1, np.int64)
         np.cumsum((data & 0xC0) != 0x80, out=before[1:])
+        names = self._names(data, bounds)
+        parted = before[np.unique(np.concatenate([bounds, names.ravel()]))]
         bounds = before[bounds]
-        starts = piece_starts(codes, bounds)
+        starts = piece_starts(codes, parted)
+        if len(names):
+            begin, end = before[names.T]
+            inside = np.searchsorted(begin, starts, "left") > np.searchsorted(end, starts, "right")
+            starts = starts[~inside]
         ends = np.append(starts[1:], len(codes))
         hashes = span_hashes(mixed(codes.astype(U64) + U64(1)), starts, ends)
         distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)

@@ -22,13 +22,12 @@ DDL = "doc_id long, text string"
 @pytest.fixture(scope="module")
 def library():
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
 def odd_texts(number=400):
     pick = random.Random(1)
-    letters = list("ab't sr evlmd  \n\t\r12é漢,.!-  '")
+    letters = [*"ab't sr evlmd  \n\t\r12é漢,.!-  '", "<|endoftext|>", "<|endof", "text|>"]
     return ["".join(pick.choices(letters, k=pick.randint(0, 80))) for _ in range(number)] + [None, "", "'s", "it's", "a\n's", "x  'll"]
 
 
@@ -38,6 +37,9 @@ def test_ids_are_those_of_the_library(library):
         ids, at = tokens.encoder().encode(data, bounds)
         for k, text in enumerate(rows.column(0).to_pylist()):
             assert ids[at[k] : at[k + 1]].tolist() == library(text)
+    data = np.frombuffer(b"x <|endoftext|> y<|endof" + b"text|>", np.uint8)
+    ids, at = tokens.encoder().encode(data, np.array([0, 24, len(data)]))
+    assert ids[: at[1]].tolist()[:4] == [87, 220, 50256, 331] and 50256 not in ids[4:], "names do not cross texts"
 
 
 def documents(spark, texts):

@@ -5,14 +5,16 @@ the weight of the prefix that it is, the sum over all sequences that go on from
 counts of all lengths. A task builds the automaton of each shard of its texts from the sorted sequences. Shards are
 cut at common boundaries into prefix ranges of about ``RANGE`` sequences, taken from all shards, and the automata of a
 range are united, which adds up counts. Only prefixes at the edge of a range can go on in the next; their counts are
-added up by phrase. So no key gathers in a task, however common its first word.
+added up by phrase. So no key gathers in a task, however common its first word. A shard is cut into ``FAN`` pieces at most:
+with more ranges than that, shards are first dealt to groups of ranges and united there, so that pieces stay large.
 
 Candidates are then composed with the counts: each cut of a candidate asks for the weights of its two parts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from bisect import bisect_left
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,7 @@ TOP = 2000
 UNKNOWN = "und"
 SHARD = 1_000_000
 RANGE = 1_000_000
+FAN = 256
 _GUIDES = 32
 _SALTS = 64
 _BREAK = np.zeros(256, bool)
@@ -125,12 +128,31 @@ def _phrases(found: automata.Sequences) -> Iterator[tuple[np.ndarray, int, np.nd
         yield first, k, weights, edge
 
 
-def _united(batches: Iterator[pa.RecordBatch], least: int, at_most: int) -> Iterator[pa.RecordBatch]:
-    """Phrases of each range, rows being sorted by range; blobs are united whenever a range's worth has come."""
-
-    def result(held: list[automata.Sequences]) -> Iterator[pa.RecordBatch]:
-        found = automata.united(held)
-        for first, k, weights, edge in _phrases(found) if len(found.rows) else ():
+def _by_range(batches: Iterator[pa.RecordBatch], at_most: int) -> Iterator[tuple[int, list[automata.Sequences], bool]]:
+    """Automata of one range at a time, in lots of about ``at_most`` sequences, and whether a lot ends its range."""
+    held: list[automata.Sequences] = []
+    current, size = None, 0
+    for batch in batches:
+        for number, blob in zip(column(batch, "range").to_pylist(), column(batch, "automaton"), strict=True):
+            if held and (number != current or size > at_most):
+                yield current, held, number != current
+                held, size = [], 0
+            current = number
+            held.append(automata.read(blob.as_py()))
+            size += len(held[-1].rows)
+    if held:
+        yield current, held, True
+
+
+def _frequent(batches: Iterator[pa.RecordBatch], least: int, at_most: int) -> Iterator[pa.RecordBatch]:
+    """Phrases of each range, rows being sorted by range."""
+    before: list[automata.Sequences] = []
+    for _, held, last in _by_range(batches, at_most):
+        before = [automata.united([*before, *held])]
+        if not last:
+            continue
+        found, before = before[0], []
+        for first, k, weights, edge in _phrases(found):
             kept = edge | (weights >= least)
             at = first[kept]
             rows = found.rows[at]
@@ -148,28 +170,44 @@ def _united(batches: Iterator[pa.RecordBatch], least: int, at_most: int) -> Iter
                 names=["lang", "words", "phrase", "f", "open"],
             )
 
-    held: list[automata.Sequences] = []
-    current, size = None, 0
-    for batch in batches:
-        for number, blob in zip(column(batch, "range").to_pylist(), column(batch, "automaton"), strict=True):
-            if number != current and held:
-                yield from result(held)
-                held, size = [], 0
-            current = number
-            held.append(automata.read(blob.as_py()))
-            size += len(held[-1].rows)
-            if size > at_most:
-                held = [automata.united(held)]
-                size = len(held[0].rows)
-    if held:
-        yield from result(held)
 
+def _pieces(shards: DataFrame, edges, stride: int) -> DataFrame:
+    """Automata cut at every ``stride``-th of the broadcast ``edges``: (range, automaton)."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = edges.value[stride - 1 :: stride]
+        for batch in batches:
+            for blob in column(batch, "automaton"):
+                found = automata.read(blob.as_py())
+                # Keys have long words cut, so both ends of the search are taken one wider.
+                begin = max(0, bisect_left(keys, found.key(0)) - 1)
+                own = keys[begin : bisect_left(keys, found.key(len(found.rows) - 1)) + 1]
+                at = np.concatenate([[0], found.lower_bounds(own), [len(found.rows)]])
+                for number in np.flatnonzero(np.diff(at)):
+                    part = automata.written(found.slice(int(at[number]), int(at[number + 1])))
+                    rank = pa.array([begin + number], pa.int32())
+                    yield pa.record_batch([rank, pa.array([part], pa.binary())], names=["range", "automaton"])
+
+    return shards.select("automaton").mapInArrow(cut, "range int, automaton binary")
+
+
+def _regrouped(pieces: DataFrame, tasks: int, groups: int, at_most: int) -> DataFrame:
+    """Pieces of the same range united into automata of about ``at_most`` sequences."""
+
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, held, _ in _by_range(batches, at_most):
+            yield pa.record_batch([pa.array([automata.written(automata.united(held))], pa.binary())], names=["automaton"])
 
-def counts(docs: DataFrame, least: int = LEAST, size: int = SHARD, span: int = RANGE) -> DataFrame:
+    salted = pieces.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(groups)))
+    dealt = salted.repartition(tasks, "range", "salt").sortWithinPartitions("range")
+    return dealt.select("range", "automaton").mapInArrow(unite, "automaton binary")
+
+
+def counts(docs: DataFrame, least: int = LEAST, size: int = SHARD, span: int = RANGE, fan: int = FAN) -> DataFrame:
     """(lang, words, phrase, f): all phrases of one to four words with ``f`` of at least ``least``, and per lang the
     number of word occurrences as the phrase of no words.
 
-    A shard has about ``size`` words, a range about ``span`` sequences.
+    A shard has about ``size`` words, a range about ``span`` sequences; a shard is cut into ``fan`` pieces or so at a time.
     """
     spark = docs.sparkSession
     chosen = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col("text").cast("string"))
@@ -177,22 +215,18 @@ def counts(docs: DataFrame, least: int = LEAST, size: int = SHARD, span: int = R
     guides = shards.select(F.lit(0).alias("all"), F.explode("guides").alias("key"))
     chosen = placed(guides, "all", ["key"], "guides").filter((F.col("place") + 1) % _GUIDES == 0)
     # As many as there are ranges, at most 330 bytes each.
-    edges = sorted(row.key for row in chosen.select("key").collect())
-    shared = spark.sparkContext.broadcast([bytes(key) for key in edges])
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for blob in column(batch, "automaton"):
-                found = automata.read(blob.as_py())
-                at = np.concatenate([[0], found.lower_bounds(shared.value), [len(found.rows)]])
-                for number in np.flatnonzero(np.diff(at)):
-                    part = automata.written(found.slice(int(at[number]), int(at[number + 1])))
-                    yield pa.record_batch([pa.array([number], pa.int32()), pa.array([part], pa.binary())], names=["range", "automaton"])
-
-    pieces = shards.select("automaton").mapInArrow(cut, "range int, automaton binary")
-    dealt = pieces.repartitionById(len(edges) + 1, "range").sortWithinPartitions("range")
+    edges = sorted(bytes(row.key) for row in chosen.select("key").collect())
+    shared = spark.sparkContext.broadcast(edges)
+    strides = [1]
+    while strides[-1] * fan <= len(edges):
+        strides.append(strides[-1] * fan)
+    for stride in reversed(strides[1:]):
+        number = shards.count()
+        groups = -(-number * stride // (len(edges) + 1))
+        shards = store(_regrouped(_pieces(shards, shared, stride), number, groups, span), "shards")
+    dealt = _pieces(shards, shared, 1).repartitionById(len(edges) + 1, "range").sortWithinPartitions("range")
     schema = "lang string, words int, phrase string, f long, open boolean"
-    found = store(dealt.mapInArrow(lambda batches: _united(batches, least, 2 * span), schema), "phrases")
+    found = store(dealt.mapInArrow(lambda batches: _frequent(batches, least, 2 * span), schema), "phrases")
     joined = found.filter("open").groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
     joined = joined.filter((F.col("f") >= least) | (F.col("words") == 0))
     return found.filter("NOT open").drop("open").unionByName(joined)

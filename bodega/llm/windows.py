@@ -4,6 +4,10 @@ A text is a row of units: words or bytes. Every window of ``size`` units has a m
 whose hash is smallest (the leftmost of equals); equal windows have equal minimisers at equal places. Consecutive windows
 with the same minimiser form a run, and travel as one packed string to the bucket of that minimiser.
 
+In a text of little variety, one letter two million times, every window has a minimiser of its own place, but the runs that
+follow each other are equal strings at equal distances: they are one row with a number of times. Long texts are worked
+on in parts of ``PART`` units; a run that a part cuts is two runs, which changes nothing.
+
 Only minimisers that occur twice can have equal windows, so runs are counted first (a hash each), and only the
 runs of repeated minimisers are cut out of the texts. A task sends equal strings once, so a group of copies,
 however large, is one row for each task. A minimiser that more runs have than ``HOT`` is divided by a second
@@ -31,6 +35,7 @@ from bodega.llm.shared import bytes_of, discard, expanded, squeezed, store, task
 HOT = 256
 BUCKET_BYTES = 16 << 20
 CHUNK_BYTES = 2 << 20
+PART = 1 << 20
 _BLOCK = 1 << 18
 _SEEN = 1 << 18
 _PLACE_BITS = U64(24)
@@ -64,6 +69,14 @@ class Units:
     def packed(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: int, number: int) -> bytes:
         raise NotImplementedError
 
+    def strings(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Hashes of stretches of units."""
+        return span_hashes(span_hashes(BYTE_VALUES[data], starts, ends), first, last)
+
+    def parts(self, data: np.ndarray, bounds: np.ndarray, step: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Texts in parts that hold all windows of up to ``step`` units each: first unit, bytes, bounds."""
+        raise NotImplementedError
+
 
 class Words(Units):
     def bounds(self, data, bounds):
@@ -75,6 +88,15 @@ class Words(Units):
     def packed(self, data, starts, ends, first, number):
         return b" ".join(data[starts[first] : ends[first + number - 1]].tobytes().split())
 
+    def parts(self, data, bounds, step):
+        if len(bounds) > 2 or len(data) <= step:  # a word has a byte at least
+            yield 0, data, bounds
+            return
+        starts, ends, _ = words(data, bounds)
+        for begin in range(0, max(1, len(starts) - self.size + 1), step):
+            part = data[starts[begin] : ends[min(begin + step + self.size - 1, len(starts)) - 1]] if len(starts) else data[:0]
+            yield begin, part, np.array([0, len(part)])
+
 
 class Bytes(Units):
     def bounds(self, data, bounds):
@@ -88,6 +110,17 @@ class Bytes(Units):
     def packed(self, data, starts, ends, first, number):
         return data[first : first + number].tobytes()
 
+    def strings(self, data, starts, ends, first, last):
+        return span_hashes(BYTE_VALUES[data], first, last)
+
+    def parts(self, data, bounds, step):
+        if len(bounds) > 2 or len(data) <= step:
+            yield 0, data, bounds
+            return
+        for begin in range(0, max(1, len(data) - self.size + 1), step):
+            part = data[begin : begin + step + self.size - 1]
+            yield begin, part, np.array([0, len(part)])
+
 
 def smallest(hashes: np.ndarray, width: int) -> np.ndarray:
     """For every window of ``width`` hashes, the place of the smallest, leftmost of equals (by their leading 40 bits)."""
@@ -108,26 +141,37 @@ def smallest(hashes: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs(units: Units, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Runs of windows with one minimiser: text, first unit in the text, windows, minimiser's hash and place."""
+    """Runs of windows with one minimiser: text, first unit in the text, windows, minimiser's hash and place, times.
+
+    Equal strings that follow each other, each beginning where the windows of the one before end, are one run.
+    """
     none = np.zeros(0, np.int64)
     starts, ends, first = units.bounds(data, bounds)
     hashes = units.hashes(data, starts, ends)
     width = units.size - units.gram + 1
-    if len(starts) < units.size:
-        return none, none, none, none.astype(U64), none
-    places = smallest(hashes, width)
     count = np.maximum(np.diff(first) - units.size + 1, 0)
     window = ranges(first[:-1], count)
     if not len(window):
-        return none, none, none, none.astype(U64), none
+        return none, none, none, none.astype(U64), none, none
     text = np.repeat(np.arange(len(count)), count)
-    place = places[window]
+    place = smallest(hashes, width)[window]
     new = np.ones(len(window), bool)
     new[1:] = (place[1:] != place[:-1]) | (text[1:] != text[:-1])
     at = np.flatnonzero(new)
     lengths = np.diff(np.append(at, len(window)))
-    text = text[at]
-    return text, window[at] - first[text], lengths, hashes[place[at]], place[at] - first[text]
+    text, begin, place = text[at], window[at], place[at]
+    strings = units.strings(data, starts, ends, begin, begin + lengths + units.size - 1)
+    alike = np.zeros(len(at), bool)
+    alike[1:] = (
+        (text[1:] == text[:-1])
+        & (lengths[1:] == lengths[:-1])
+        & (strings[1:] == strings[:-1])
+        & (place[1:] - begin[1:] == place[:-1] - begin[:-1])
+    )
+    kept = np.flatnonzero(~alike)
+    times = np.diff(np.append(kept, len(at)))
+    text, begin, lengths, place = text[kept], begin[kept], lengths[kept], place[kept]
+    return text, begin - first[text], lengths, hashes[place], place - first[text], times
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -138,77 +182,86 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(others.alias("others"), key.alias("k1"), F.xxhash64(text).alias("k2"), text.alias("text"))
 
 
-_RUN = "k1 long, k2 long, minimiser long, first int, windows int, place int"
+_RUN = "k1 long, k2 long, minimiser long, first int, windows int, place int, times int"
 
 
 def _run_rows(units: Units, keyed: DataFrame) -> DataFrame:
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, bounds in slices(batches, "text"):
-            text, first, windows, minimiser, place = runs(units, data, bounds)
-            yield pa.record_batch(
-                {
-                    "k1": column(rows, "k1").take(pa.array(text)),
-                    "k2": column(rows, "k2").take(pa.array(text)),
-                    "minimiser": pa.array(minimiser.view(np.int64)),
-                    "first": pa.array(first, pa.int32()),
-                    "windows": pa.array(windows, pa.int32()),
-                    "place": pa.array(place, pa.int32()),
-                }
-            )
+        for rows, whole, edges in slices(batches, "text"):
+            for begin, data, bounds in units.parts(whole, edges, PART):
+                text, first, windows, minimiser, place, times = runs(units, data, bounds)
+                yield pa.record_batch(
+                    {
+                        "k1": column(rows, "k1").take(pa.array(text)),
+                        "k2": column(rows, "k2").take(pa.array(text)),
+                        "minimiser": pa.array(minimiser.view(np.int64)),
+                        "first": pa.array(first + begin, pa.int32()),
+                        "windows": pa.array(windows, pa.int32()),
+                        "place": pa.array(place + begin, pa.int32()),
+                        "times": pa.array(times, pa.int32()),
+                    }
+                )
 
     return keyed.select("k1", "k2", "text").mapInArrow(found, _RUN)
 
 
 def _cut(units: Units, keyed: DataFrame, wanted: DataFrame) -> DataFrame:
     """The packed strings of the wanted runs, hot ones divided by their second minimiser."""
+    parts = ("minimiser", "first", "windows", "place", "hot", "times")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
-        for rows, data, bounds in slices(expanded(batches, "text"), "text"):
-            starts, ends, first_unit = units.bounds(data, bounds)
+        for rows, whole, edges in slices(expanded(batches, "text"), "text"):
             lists = column(rows, "runs")
-            of = np.repeat(np.arange(rows.num_rows), np.diff(lists.offsets.to_numpy()))
+            all_of = np.repeat(np.arange(rows.num_rows), np.diff(lists.offsets.to_numpy()))
             flat = lists.flatten()
-            minimiser, first, windows, place, hot = (
-                flat.field(name).to_numpy(zero_copy_only=False) for name in ("minimiser", "first", "windows", "place", "hot")
-            )
-            key = minimiser.astype(np.int64).view(U64)
-            first, windows, place = (x.astype(np.int64) for x in (first, windows, place))
-            if hot.any():
-                divided = _divide(units, data, starts, ends, first_unit, of, key, first, windows, place, hot.astype(bool))
-                of, key, first, windows, place = divided
-            strings = [
-                units.packed(data, starts, ends, int(f), int(n))
-                for f, n in zip(first + first_unit[of], windows + units.size - 1, strict=True)
-            ]
-            digests = [hashlib.blake2b(s, digest_size=16).digest() for s in strings]
-            if len(seen) > _SEEN:
-                seen.clear()
-            for k, digest in enumerate(digests):  # a task sends a string once, and its digest every time
-                if digest in seen:
-                    strings[k] = None
-                seen.add(digest)
-            yield pa.record_batch(
-                {
-                    "k1": column(rows, "k1").take(pa.array(of)),
-                    "k2": column(rows, "k2").take(pa.array(of)),
-                    "first": pa.array(first, pa.int32()),
-                    "size": pa.array(windows + units.size - 1, pa.int32()),
-                    "minimiser": pa.array(key.view(np.int64)),
-                    "place": pa.array(place - first, pa.int32()),
-                    "digest": binary(digests),
-                    "string": binary(strings),
-                }
-            )
+            wanted = [flat.field(name).to_numpy(zero_copy_only=False) for name in parts]
+            for begin, data, bounds in units.parts(whole, edges, PART):
+                starts, ends, first_unit = units.bounds(data, bounds)
+                # Runs keep to the parts that they were found in.
+                here = (wanted[1] >= begin) & (wanted[1] < begin + PART) if len(edges) == 2 else slice(None)
+                of = all_of[here]
+                minimiser, first, windows, place, hot, times = (values[here] for values in wanted)
+                key = minimiser.astype(np.int64).view(U64)
+                first, windows, place, times = (x.astype(np.int64) for x in (first - begin, windows, place - begin, times))
+                if hot.any():
+                    divided = _divide(units, data, starts, ends, first_unit, of, key, first, windows, place, times, hot.astype(bool))
+                    of, key, first, windows, place, step, times = divided
+                else:
+                    step = windows
+                strings = [
+                    units.packed(data, starts, ends, int(f), int(n))
+                    for f, n in zip(first + first_unit[of], windows + units.size - 1, strict=True)
+                ]
+                digests = [hashlib.blake2b(s, digest_size=16).digest() for s in strings]
+                if len(seen) > _SEEN:
+                    seen.clear()
+                for k, digest in enumerate(digests):  # a task sends a string once, and its digest every time
+                    if digest in seen:
+                        strings[k] = None
+                    seen.add(digest)
+                yield pa.record_batch(
+                    {
+                        "k1": column(rows, "k1").take(pa.array(of)),
+                        "k2": column(rows, "k2").take(pa.array(of)),
+                        "first": pa.array(first + begin, pa.int32()),
+                        "size": pa.array(windows + units.size - 1, pa.int32()),
+                        "step": pa.array(step, pa.int32()),
+                        "times": pa.array(times, pa.int32()),
+                        "minimiser": pa.array(key.view(np.int64)),
+                        "place": pa.array(place - first, pa.int32()),
+                        "digest": binary(digests),
+                        "string": binary(strings),
+                    }
+                )
 
-    parts = ("minimiser", "first", "windows", "place", "hot")
     listed = wanted.groupBy("k1", "k2").agg(F.collect_set(F.struct(*parts)).alias("runs"))
     texts = squeezed(keyed.select("k1", "k2", "text"), "text").join(listed, ["k1", "k2"])
-    schema = "k1 long, k2 long, first int, size int, minimiser long, place int, digest binary, string binary"
+    schema = "k1 long, k2 long, first int, size int, step int, times int, minimiser long, place int, digest binary, string binary"
     return texts.mapInArrow(cut, schema)
 
 
-def _divide(units, data, starts, ends, first_unit, of, key, first, windows, place, hot):
+def _divide(units, data, starts, ends, first_unit, of, key, first, windows, place, times, hot):
     """Divide the hot runs where their second minimiser changes; its hash joins the key."""
     width = units.size - units.gram + 1
     second = mixed(units.hashes(data, starts, ends) ^ _SECOND)
@@ -229,6 +282,8 @@ def _divide(units, data, starts, ends, first_unit, of, key, first, windows, plac
         np.concatenate([first[cold], first[parent] + offset[begin]]).astype(np.int64),
         np.concatenate([windows[cold], lengths]).astype(np.int64),
         np.concatenate([place[cold], place[parent]]).astype(np.int64),
+        np.concatenate([windows[cold], windows[parent]]).astype(np.int64),
+        np.concatenate([times[cold], times[parent]]).astype(np.int64),
     )
 
 
@@ -352,13 +407,16 @@ def spans(bool_rows: np.ndarray) -> np.ndarray:
 def repeated_spans(units: Units, docs: DataFrame, bucket: Bucket, label: str) -> DataFrame:
     """Each row of ``docs`` as (others: its columns but the text, the squeezed text, marks: where windows occur again).
 
-    A mark has the first unit and size of a string, and the spans of its windows that occur again (null: all).
+    A mark has the first unit and size of a string, how often it follows itself by how many units, and the spans of its
+    windows that occur again (null: all).
     """
     spark = docs.sparkSession
     keyed = _keyed(docs)
     found = store(_run_rows(units, keyed), f"{label}_runs")
-    counted = found.groupBy("minimiser").agg(F.count("*").alias("n")).filter("n > 1")
-    wanted = found.join(counted.select("minimiser", (F.col("n") > HOT).alias("hot")), "minimiser")
+    counted = found.groupBy("minimiser").agg(F.sum("times").alias("n")).filter("n > 1")
+    # Stored, so that Spark can cut up the runs of a minimiser that a large share of them has.
+    repeated = store(counted.select("minimiser", (F.col("n") > HOT).alias("hot")), f"{label}_minimisers")
+    wanted = found.join(repeated, "minimiser")
     cut = store(_cut(units, keyed, wanted), f"{label}_strings")
     discard(found)
     volume = bytes_of(cut, "string")
@@ -371,12 +429,13 @@ def repeated_spans(units: Units, docs: DataFrame, bucket: Bucket, label: str) ->
         crowded = strings.join(large, "minimiser", "left_semi").select("digest", "string").dropDuplicates(["digest", "string"])
         flags = flags.union(_in_windows(units, store(crowded, f"{label}_crowded"), label))
     flags = store(flags, f"{label}_flags")
-    copied = cut.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest", F.lit(True).alias("whole"))
+    copied = cut.groupBy("digest").agg(F.sum("times").alias("n")).filter("n > 1").select("digest", F.lit(True).alias("whole"))
     marks = flags.join(copied, "digest", "full").select(
         "digest", F.when(F.col("whole").isNull(), F.col("repeated")).alias("repeated")
     )
-    located = cut.select("k1", "k2", "first", "size", "digest").join(marks, "digest")
-    listed = located.groupBy("k1", "k2").agg(F.collect_set(F.struct("first", "size", "repeated")).alias("marks"))
+    placed = ("first", "size", "step", "times")
+    located = cut.select("k1", "k2", *placed, "digest").join(marks, "digest")
+    listed = located.groupBy("k1", "k2").agg(F.collect_set(F.struct(*placed, "repeated")).alias("marks"))
     return squeezed(keyed, "text").join(listed, ["k1", "k2"], "left").select("others", "text", "marks")
 
 
@@ -389,6 +448,9 @@ def covered(marks: pa.ListArray, row: int, size: int, n: int) -> np.ndarray:
         else:
             pairs = mark["first"] + np.frombuffer(mark["repeated"], "<i4").reshape(-1, 2)
             begin, end = pairs[:, 0], pairs[:, 1] + size - 1
+        if mark["times"] > 1:
+            again = (np.arange(mark["times"]) * mark["step"])[:, None]
+            begin, end = (begin + again).ravel(), (end + again).ravel()
         np.add.at(steps, begin, 1)
         np.add.at(steps, end, -1)
     return np.cumsum(steps[:-1]) > 0

@@ -3,10 +3,14 @@
 A seed is a mask over consecutive words; words at its gaps may differ. All seeds of the benchmark items are hashed,
 every position of a text is looked up under every mask, and each hit names an item and an alignment. Along the
 alignment, the stretch with most equal words decides, among those where they make up the share.
+
+Masks go by the length of an item. Under ``SHORT`` words the share leaves two words at most to differ, so three equal words in
+a row, or two on both sides of a gap, are always there; under five words an item has to be there as a whole.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -19,6 +23,9 @@ from pyspark.sql import functions as F
 from bodega.llm.arrays import BYTE_VALUES, NO_LETTER, U64, column, mixed, slices, span_hashes, words
 
 MASKS = ("1101011011", "11100101101", "1011010111", "11011")
+SHORT_MASKS = ("111", "11011")
+SHORT = 15
+WHOLE = 5
 MATCHES = 12
 SHARE = 0.8
 BLOCK_BYTES = 32 << 20
@@ -41,17 +48,26 @@ def seeds(hashes: np.ndarray, mask: str, number: int) -> np.ndarray:
     return mixed(total)
 
 
+def masks_for(length: int) -> Iterator[tuple[int, str]]:
+    """The numbered masks of an item of ``length`` words; a number stands for one mask."""
+    every = [*MASKS, *SHORT_MASKS, *("1" * n for n in range(1, WHOLE))]
+    wanted = MASKS if length >= SHORT else SHORT_MASKS if length >= WHOLE else ["1" * length]
+    yield from ((number, mask) for number, mask in enumerate(every) if mask in wanted)
+
+
 class Benchmark:
     """Seeds of a block of items, ready to be looked up."""
 
     def __init__(self, ids: list[int | None], texts: list[str | None]) -> None:
         self.ids, self.hashes = ids, []
         found, item, place = [], [], []
+        self.masks: dict[int, str] = {}
         for number, text in enumerate(texts):
             data = np.frombuffer(pc.utf8_lower(pa.scalar(text or "")).as_py().encode(), np.uint8)
             hashes, _ = _hashed(data, np.array([0, len(data)]))
             self.hashes.append(hashes)
-            for k, mask in enumerate(MASKS):
+            for k, mask in masks_for(len(hashes)):
+                self.masks[k] = mask
                 own = seeds(hashes, mask, k)
                 found.append(own)
                 item.append(np.full(len(own), number))
@@ -66,7 +82,7 @@ class Benchmark:
 
     def hits(self, hashes: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(position, item, place in the item) of every seed of ``hashes`` that an item has."""
-        for k, mask in enumerate(MASKS):
+        for k, mask in self.masks.items():
             own = seeds(hashes, mask, k)
             likely = np.flatnonzero(self.filter[(own & U64(_FILTER - 1)).astype(np.int64)])
             begin = np.searchsorted(self.keys, own[likely])
@@ -109,7 +125,7 @@ def _leaks(benchmark: Benchmark, hashes: np.ndarray, first: np.ndarray, matches:
             continue
         seen.add((text, item, shift))
         own = benchmark.hashes[item]
-        needed = min(matches, len(own))
+        needed = min(matches, math.ceil(Fraction(str(share)) * len(own)))
         begin, end = max(first[text], shift), min(first[text + 1], shift + len(own))
         equal = hashes[begin:end] == own[begin - shift : end - shift]
         same, at, length = overlap(equal, share)
@@ -122,8 +138,8 @@ def marked(docs: DataFrame, benchmark: DataFrame, matches: int = MATCHES, share:
     """Rows of ``docs`` as (others: all columns, leaks): the benchmark items that each text overlaps.
 
     Words are runs of letters and digits in lower case. A leak is a stretch along one alignment with at least
-    ``matches`` equal words (or a whole shorter item) that make up ``share`` of it; items too short for any mask match
-    nothing. A null or empty text or item has no words. The benchmark is taken in blocks of ``BLOCK_BYTES``, each sent to
+    ``matches`` equal words that make up ``share`` of it; of an item with fewer words, the share of its words, which under
+    five words is the whole item. A null or empty text or item has no words and matches nothing. The benchmark is taken in blocks of ``BLOCK_BYTES``, each sent to
     the tasks whole, so that its size sets the number of passes and not the memory; repeated items are found each.
     """
     spark = docs.sparkSession

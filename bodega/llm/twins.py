@@ -135,3 +135,42 @@ ranked AS (
 )
 SELECT x.lang, x.rank, x.phrase, x.a, x.l, x.r, t.n, x.score FROM ranked x JOIN totals t ON t.lang = x.lang WHERE x.rank <= 2000
 """
+
+#: The response of equal payloads is the page with the smallest id.
+WARC = """
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS size, sha256(coalesce(html, '')) AS digest FROM pages
+),
+firsts AS (SELECT digest, min(page_id) AS first FROM payloads WHERE size >= 100 GROUP BY digest),
+typed AS (
+    SELECT p.*, f.first, f.first IS NOT NULL AND f.first IS DISTINCT FROM p.page_id AS again
+    FROM payloads p LEFT JOIN firsts f ON f.digest = p.digest
+)
+SELECT page_id, size AS payload_bytes, digest AS payload_digest, if(again, 'revisit', 'response') AS record_type,
+    CASE WHEN again THEN first END AS refers_to FROM typed
+"""
+
+#: Windows as joined words, each word marked when a repeated window begins at it or up to 34 words before.
+SUBSTRING_DEDUP = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+    FROM documents
+),
+placed AS (SELECT row, generate_subscripts(words, 1) AS place, unnest(words) AS word FROM texts),
+begun AS (
+    SELECT row, place, word, string_agg(word, ' ') OVER following AS sequence, count(*) OVER following AS size
+    FROM placed WINDOW following AS (PARTITION BY row ORDER BY place ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)
+),
+repeated AS (SELECT sequence FROM begun WHERE size = 35 GROUP BY sequence HAVING count(*) > 1),
+marked AS (
+    SELECT b.row, b.place, b.word, b.size = 35 AND r.sequence IS NOT NULL AS again FROM begun b LEFT JOIN repeated r ON r.sequence = b.sequence
+),
+judged AS (
+    SELECT row, place, word, bool_or(again) OVER (PARTITION BY row ORDER BY place ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone FROM marked
+),
+kept AS (
+    SELECT row, count(*) FILTER (gone) AS removed, string_agg(word, ' ' ORDER BY place) FILTER (NOT gone) AS kept FROM judged GROUP BY row
+)
+SELECT t.doc_id, CAST(len(t.words) AS BIGINT) AS n_words, CAST(coalesce(k.removed, 0) AS BIGINT) AS n_removed,
+    sha256(coalesce(k.kept, '')) AS kept_sha256 FROM texts t LEFT JOIN kept k ON k.row = t.row
+"""

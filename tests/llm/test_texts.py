@@ -6,6 +6,7 @@ import hashlib
 import random
 import uuid
 import zlib
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers
@@ -143,6 +144,27 @@ def test_leaks_survive_replaced_words_and_case(spark):
     assert {i: set(x) for i, x in found.items()} == {0: {5}, 1: {5}, 2: set(), 3: set(), 4: set(), 5: set()}
 
 
+def test_short_items_are_found_by_the_share_of_their_words(spark):
+    """Every way to replace as many words as the share allows, and one more, for items of 1 to 14 words."""
+    items, docs, want = [], [], {}
+    for length in range(1, 15):
+        item = [f"i{length}w{k}" for k in range(length)]
+        items.append((length, " ".join(item)))
+        least = min(12, -(-4 * length // 5))
+        for changed in range(length - least + 2):
+            for gone in combinations(range(length), min(changed, length)):
+                text = ["so", *("other" if k in gone else w for k, w in enumerate(item)), "on"]
+                want[len(docs)] = length if changed <= length - least else None
+                docs.append((len(docs), " ".join(text)))
+    docs_df = spark.createDataFrame(docs, DDL)
+    rows = decontaminate.marked(docs_df, spark.createDataFrame(items, "item_id long, text string"))
+    found = {r["doc_id"]: r["items"] for r in rows.selectExpr("others.doc_id", "leaks.item_id AS items").collect()}
+    missed = {k: docs[k][1] for k, length in want.items() if length and found[k] != [length]}
+    assert not missed
+    # One word too many replaced: nothing, unless a stretch inside still holds the share of the item's words.
+    assert not [docs[k][1] for k, length in want.items() if length is None and found[k]]
+
+
 def test_the_overlap_is_the_best_of_all_stretches(spark):
     random_ = np.random.default_rng(7)
     for share in (0.8, 0.75, 1.0):

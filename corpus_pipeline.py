@@ -35,9 +35,11 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words under a repeated window go; a text that loses none stays as it is, one that loses some has single blanks."""
-    with_text = docs.withColumn("_text", F.col("text"))
-    rows = substrings.remove_repeats(with_text)
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("others._text"))
+    whole = "whole_text"
+    while whole in map(str.lower, docs.columns):
+        whole += "_"
+    rows = substrings.remove_repeats(docs.withColumn(whole, F.col("text")))
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col(f"others.`{whole}`"))
     columns = {name: F.col(f"others.`{name}`") for name in docs.columns if name != "text"}
     columns["text"] = text
     if "n_chars" in columns:

@@ -132,7 +132,8 @@ def write(docs: DataFrame, folder: str, length: int = LENGTH, key: int = KEY) ->
 
     manifest_type = pa.schema([("shard", pa.int32()), ("file", pa.string()), ("n", pa.int64())])
     cut_rows = chosen.mapInArrow(cut, "shard int, place long, doc_id long, piece int, ids binary")
-    dealt = cut_rows.repartition(shards, "shard").sortWithinPartitions("shard", "place", F.crc32("ids"))
+    # A shard is a range of permuted places, and each range is one task.
+    dealt = cut_rows.repartitionById(shards, "shard").sortWithinPartitions("shard", "place", F.crc32("ids"))
     written = store(dealt.mapInArrow(out, "shard int, file string, n long"), "shards")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return written.withColumn("first_slot", F.coalesce(F.sum("n").over(before), F.lit(0)))
@@ -172,7 +173,7 @@ def order(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Write ``docs`` in training order and read the shards back: a row per sequence, ids as their check sum."""
     manifest = write(docs, scratch_path(spark, "training_order"))
     tasks = max(1, spark.sparkContext.defaultParallelism)
-    back = read(store(manifest, "manifest").repartition(tasks, "shard"))
+    back = read(store(manifest, "manifest").repartitionById(tasks, F.pmod("shard", F.lit(tasks))))
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -4,6 +4,7 @@ import pytest
 from conftest import AS_OF, RUN_TS, SMALL
 from pyspark.sql import functions as F
 
+from bodega.contract import registry
 from bodega.plans import ingest, pipeline
 from bodega.schemas import SYNC_STAMP
 from bodega.sources.tpch import COLUMNS, TpchTables
@@ -103,3 +104,18 @@ def test_stale_audit_column_is_replaced(new_warehouse, spark):
     assert ingest.load(warehouse, lambda _: stale, "sucursales", RUN_TS).ok
     stamps = warehouse.read("bronze.sucursales").select(SYNC_STAMP).distinct().collect()
     assert [row[0] for row in stamps] == [RUN_TS]
+
+
+def test_a_call_reads_what_the_folder_holds_now(spark, tmp_path):
+    """A refresh kept from an earlier call would cost nothing and show old rows."""
+    tables = TpchTables(spark, SMALL)
+    for name in ("customer", "nation", "part", "region", "supplier", "orders", "lineitem"):
+        tables.raw(name).limit(25).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    def stored_sales():
+        report = registry.queries()["quality_report"](spark, str(tmp_path))
+        return report.filter("capa = 'bronze' AND tabla = 'ventas' AND regla = 'escritas'").first().filas_validas
+
+    assert stored_sales() == 25
+    tables.raw("orders").limit(40).coalesce(1).write.mode("append").parquet(f"{tmp_path}/orders.parquet")
+    assert stored_sales() == 65

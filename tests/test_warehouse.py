@@ -356,3 +356,15 @@ def test_share_holds_only_the_two_marts(new_warehouse, kpis, tmp_path, spark):
     spark.read.parquet(f"{copy}-other").write.mode("overwrite").parquet(copy)
     with pytest.raises(ContentMismatch):
         shared(spark, target, KPIS)
+
+
+def test_stored_files_are_zstd_whatever_the_session_writes(new_warehouse, stock, kpis, spark):
+    warehouse = new_warehouse()
+    plain, day = "silver.detalle_ventas_clean", dt.date(2001, 7, 1)
+    warehouse.overwrite(plain, lines_frame(spark, 10, 1))
+    warehouse.overwrite(STOCK, stock([(1, 10, 5)]))
+    warehouse.overwrite("gold.fact_kpis_diarios", kpis([(day, 1, 5)]))
+    warehouse.upsert("gold.fact_kpis_diarios", kpis([(day, 1, 6)]), ["fecha_key", "sucursal_key"])
+    for table in (plain, STOCK, "gold.fact_kpis_diarios"):
+        files = rows_by_file(warehouse, table).select("file").distinct().collect()
+        assert files and all(row.file.endswith(".zstd.parquet") for row in files), table

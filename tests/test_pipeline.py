@@ -119,3 +119,21 @@ def test_a_call_reads_what_the_folder_holds_now(spark, tmp_path):
     assert stored_sales() == 25
     tables.raw("orders").limit(40).coalesce(1).write.mode("append").parquet(f"{tmp_path}/orders.parquet")
     assert stored_sales() == 65
+
+
+def test_a_reader_of_all_tables_adds_the_purchases_up_once(spark):
+    tables = TpchTables(spark, SMALL)
+    for table in ("ordenes_compra", "recepciones"):
+        read = tables.source_of_all(table)
+        plan = read._jdf.queryExecution().optimizedPlan().toString()
+        assert "Aggregate" not in plan and "lineitem" not in plan
+        assert read.schema == tables.source(table).schema
+        assert sorted(map(repr, read.collect())) == sorted(map(repr, tables.source(table).collect()))
+    assert read.inputFiles() and set(read.inputFiles()) == set(tables.source_of_all("ordenes_compra").inputFiles())
+
+
+def test_the_refresh_reads_the_purchases_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(pipeline, "run", lambda warehouse, read, tables, *_: seen.extend(read(table) for table in tables))
+    registry._refresh(TpchTables(spark, SMALL))
+    assert sum("lineitem.parquet" in "".join(df.inputFiles()) for df in seen) == 2  # lines and stock movements
